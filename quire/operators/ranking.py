@@ -27,7 +27,7 @@ def top_k(
     df: DataFrame,
     k: int,
     score_col: str = "prediction",
-    group_col: str = "user_id",
+    group_col: str | list[str] = "user_id",
     method: str = "rank",
     tie_break: str | None = "book_id",
     out: str = "rank",
@@ -42,7 +42,8 @@ def top_k(
     order = [_order(score_col, desc)]
     if method == "row_number" and tie_break:
         order.append(F.col(tie_break).asc())
-    w = Window.partitionBy(group_col).orderBy(*order)
+    groups = [group_col] if isinstance(group_col, str) else list(group_col)
+    w = Window.partitionBy(*groups).orderBy(*order)
     fn = {"rank": F.rank, "row_number": F.row_number, "dense_rank": F.dense_rank}[method]
     return df.withColumn(out, fn().over(w)).where(F.col(out) <= k)
 
