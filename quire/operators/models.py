@@ -30,7 +30,7 @@ class ALSParams:
     implicit: bool = False
     alpha: float = 1.0
     checkpoint_interval: int = 10
-    blocks: int | None = None  # default: spark.sql.shuffle.partitions
+    blocks: int | None = None  # default: half the cluster's default parallelism
 
 
 UNREAD_PARAMS = ALSParams(max_iter=5, rank=10, reg=0.0)
@@ -43,13 +43,13 @@ def als_estimator(
     item_col: str = "book_id",
     rating_col: str = "rating",
 ) -> ALS:
-    """The ALS estimator with a fixed seed; blocks follow the shuffle width.
+    """The ALS estimator with a fixed seed; blocks follow the cluster size.
 
     A checkpoint directory is ensured (the cluster's ``spark.checkpoint.dir``)
     so long iteration lineages are cut and survive executor loss.
     """
     ensure_checkpoint_dir(spark)
-    blocks = params.blocks or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = params.blocks or max(2, spark.sparkContext.defaultParallelism // 2)
     return ALS(
         maxIter=params.max_iter,
         rank=params.rank,

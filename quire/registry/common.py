@@ -29,8 +29,18 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str):
-    """(train, val, test) of the default split over the interactions fixture."""
-    return S.split_recipe(interactions(spark, sf_dir))
+    """(train, val, test) of the default split, read from the staged split table.
+
+    Like the original's train/val/test Parquet files: the split is computed
+    once per application (by ``split.split_table``) and every query that only
+    consumes it reads pruned partitions.
+    """
+    table = FX.staged(
+        spark, sf_dir, "split", lambda s, d: S.split_table(FX.interactions(s, d)),
+        partition_by="part",
+    )
+    cols = ICOLS.split(", ")
+    return tuple(table.where(F.col("part") == p).select(*cols) for p in ("train", "val", "test"))
 
 
 def scored(df: DataFrame) -> DataFrame:

@@ -32,7 +32,9 @@ def _zero_safe(c):
 
 
 def als_baseline(spark, sf_dir):
-    train, val, _ = parts(spark, sf_dir)
+    from quire.plans.prepare import materialize_split
+
+    train, val, _ = materialize_split(spark, FX.interactions(spark, sf_dir))
     pred = MD.score(MD.fit_als(train, PARAMS), val)
     return pred.select("user_id", "book_id", "rating", r6("prediction"))
 

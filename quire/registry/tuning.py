@@ -20,6 +20,7 @@ from quire.operators import blend as B
 from quire.operators import models as MD
 from quire.plans import tune as TU
 from quire.plans.evaluate import evaluate_topk
+from quire.plans.prepare import materialize_split
 from quire.registry.common import parts, r6, scored, sql_with
 from quire.registry.models import PARAMS, UNREAD, _review_features
 from quire.session import scratch_path
@@ -118,15 +119,19 @@ def results_headerless_scan(spark, sf_dir):
 GRID = TU.als_grid([5], [10], [0.05, 0.1])
 
 
+def _materialized(spark, sf_dir):
+    from quire.sources import fixtures as FX
+
+    return materialize_split(spark, FX.interactions(spark, sf_dir))
+
+
 def grid_als(spark, sf_dir):
-    train, val, _ = parts(spark, sf_dir)
-    train, val = TU.cached(train), TU.cached(val)
+    train, val, _ = _materialized(spark, sf_dir)
     return TU.grid_search(spark, GRID, TU.baseline_scorer(train, val), val, "baseline", "sf")
 
 
 def grid_als_read(spark, sf_dir):
-    train, val, _ = parts(spark, sf_dir)
-    train, val = TU.cached(train), TU.cached(val)
+    train, val, _ = _materialized(spark, sf_dir)
     return TU.grid_search(spark, GRID, TU.read_scorer(train, val, UNREAD), val, "read", "sf")
 
 
@@ -161,7 +166,7 @@ def grid_combined(spark, sf_dir):
 
 def final_eval(spark, sf_dir):
     """Test-set evaluation of the baseline with fixed parameters."""
-    train, _, test = parts(spark, sf_dir)
+    train, _, test = _materialized(spark, sf_dir)
     pred = MD.score(MD.fit_als(train, PARAMS), test)
     m = evaluate_topk(pred, test, k=500)
     return m.select(

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -86,3 +86,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_scratch_dir(prefix: str = "quire-") -> str:
     """Fresh local folder; only for tests run on a local master."""
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it yields too few input splits.
+
+    Large inputs already arrive as thousands of splits and are returned
+    untouched (no shuffle).  A source with fewer splits than the cluster's
+    parallelism (e.g. one unsplittable row group) is round-robin repartitioned
+    so CPU-heavy per-row work (hashing, tokenising) is not serialised in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
