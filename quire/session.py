@@ -96,7 +96,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     parallelism (e.g. one unsplittable row group) is round-robin repartitioned
     so CPU-heavy per-row work (hashing, tokenising) is not serialised in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

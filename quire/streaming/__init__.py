@@ -1 +1,6 @@
-"""quire."""
+"""Streaming.
+
+The reference runs no streaming work (no readStream / writeStream, watermark or
+trigger anywhere), so this package is intentionally empty.  Batch jobs here are
+written so their inputs could be replaced by ``readStream`` sources later.
+"""
