@@ -84,8 +84,8 @@ def score(model: ALSModel, pairs: DataFrame, out: str = "prediction") -> DataFra
 def scorable_pairs(pairs: DataFrame, train: DataFrame,
                    user_col: str = "user_id", item_col: str = "book_id") -> DataFrame:
     """The pairs a model fitted on ``train`` can score: user and item both seen."""
-    return pairs.join(train.select(user_col), user_col, "left_semi").join(
-        train.select(item_col), item_col, "left_semi"
+    return pairs.join(train.select(user_col).distinct(), user_col, "left_semi").join(
+        train.select(item_col).distinct(), item_col, "left_semi"
     )
 
 

@@ -113,8 +113,13 @@ def exact_half(df: DataFrame, spec: SplitSpec = DEFAULT_SPLIT) -> DataFrame:
 
 
 def with_history(heldout: DataFrame, observed: DataFrame, user_col: str = "user_id") -> DataFrame:
-    """Keep held-out rows of users that have at least one observed row."""
-    return heldout.join(observed.select(user_col), user_col, "left_semi")
+    """Keep held-out rows of users that have at least one observed row.
+
+    The build side is de-duplicated first (a partial aggregate shrinks it to at
+    most one row per user), so AQE can broadcast it and the held-out rows are
+    never shuffled; otherwise it is a skew-split sort-merge semi join.
+    """
+    return heldout.join(observed.select(user_col).distinct(), user_col, "left_semi")
 
 
 def split_recipe(
@@ -139,13 +144,18 @@ def split_recipe(
 
 
 def split_table(df: DataFrame, spec: SplitSpec = DEFAULT_SPLIT) -> DataFrame:
-    """The three parts as one table with a ``part`` column (for partitioned writes)."""
-    train, val, test = split_recipe(df, spec)
-    return (
-        train.withColumn("part", F.lit("train"))
-        .unionByName(val.withColumn("part", F.lit("val")))
-        .unionByName(test.withColumn("part", F.lit("test")))
-    )
+    """The three parts as one table with a ``part`` column (for partitioned writes).
+
+    Two branches over the input: rows that go to train (train users and every
+    observed half) and held-out rows of users with history, labelled by part.
+    """
+    cols = df.columns
+    rows = with_split_columns(df, spec)
+    to_train = (F.col("part") == "train") | (F.col("half") == 0)
+    train = rows.where(to_train).select(*cols, F.lit("train").alias("part"))
+    observed = rows.where((F.col("part") != "train") & (F.col("half") == 0))
+    held = with_history(rows.where(~to_train), observed, spec.user_col)
+    return train.unionByName(held.select(*cols, "part"))
 
 
 def split_report(df: DataFrame, spec: SplitSpec = DEFAULT_SPLIT) -> DataFrame:
@@ -167,8 +177,8 @@ def min_activity(df: DataFrame, min_count: int = 10, user_col: str = "user_id")
 
 
 def seen_items_only(df: DataFrame, train: DataFrame, item_col: str = "book_id") -> DataFrame:
-    """Drop rows whose item never occurs in training (H8)."""
-    return df.join(train.select(item_col), item_col, "left_semi")
+    """Drop rows whose item never occurs in training (H8); de-duplicated build side."""
+    return df.join(train.select(item_col).distinct(), item_col, "left_semi")
 
 
 def union_observed(train_users_rows: DataFrame, *observed: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from itertools import product
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.operators import blend as B
 from quire.operators import models as MD
@@ -124,7 +125,8 @@ def lr_grid(
         rows.append(
             ("lr", sample, max_iter, 0, float(reg), _f(rmse_all), _f(m["map"]), float(net))
         )
-    schema = RESULTS.add("net", "double")
+    # a new schema: StructType.add would mutate the shared RESULTS in place
+    schema = T.StructType(RESULTS.fields + [T.StructField("net", T.DoubleType())])
     return spark.createDataFrame(rows, schema)
 
 

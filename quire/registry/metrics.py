@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import metrics as M
+from quire.operators import models as MD
 from quire.operators import ranking as R
 from quire.registry.common import parts, r6, scored, sql_with
 from quire.registry.scalar import COLD_SQL, cold_item
@@ -36,6 +37,15 @@ def rmse_all(spark, sf_dir):
     return M.rmse(clamped).select(r6("rmse"), "n")
 
 
+def rmse_by_flag(spark, sf_dir):
+    """RMSE per is_read flag and overall (rollup), on the top-500 rows."""
+    _, val, _ = parts(spark, sf_dir)
+    top = R.top_k(scored(val), 500, "prediction", method="rank", out="rank")
+    out = M.rmse_by_flag(top)
+    flag = F.coalesce(F.col("is_read").cast("string"), F.lit("all")).alias("is_read")
+    return out.select(flag, r6("rmse"), "n")
+
+
 def _metrics(spark, sf_dir):
     _, val, _ = parts(spark, sf_dir)
     return M.ranking_metrics(_top_positions(val), _relevant(val), k=K)
@@ -75,16 +85,14 @@ def coverage(spark, sf_dir):
     """Cold-start coverage: held-out pairs an ALS model could score when cold items
     are withheld from training (user and item both seen in training)."""
     train, val, _ = parts(spark, sf_dir)
-    warm = train.where(~cold_item())
-    scorable = val.join(warm.select("user_id"), "user_id", "left_semi").join(
-        warm.select("book_id"), "book_id", "left_semi"
-    )
+    scorable = MD.scorable_pairs(val, train.where(~cold_item()))
     return M.coverage(scorable, val).select(r6("coverage"), "n_users")
 
 
 QUERIES = {
     "rmse_topk": rmse_topk,
     "rmse_all": rmse_all,
+    "rmse_by_flag": rmse_by_flag,
     "map_lists": map_lists,
     "get_map": get_map,
     "precision_at_k": precision_at_k,
@@ -149,6 +157,16 @@ ORACLE = {
                  from val_scored) x""",
         "val_scored",
     ),
+    "rmse_by_flag": sql_with(
+        """select coalesce(cast(is_read as varchar), 'all') as is_read,
+                  round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as rmse,
+                  count(*) as n
+           from (select *, rank() over (partition by user_id order by prediction desc) as rk
+                 from val_scored) x
+           where rk <= 500
+           group by rollup(is_read)""",
+        "val_scored",
+    ),
     "map_lists": _metric_sql("ap", "map"),
     "precision_at_k": _metric_sql("pk", "precision_at_k"),
     "recall_at_k": _metric_sql("rk", "recall_at_k"),

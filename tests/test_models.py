@@ -70,3 +70,20 @@ def test_recommend_top_k_shape(parts):
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.count() > 0
+
+
+def test_lr_grid_keeps_result_schema(spark):
+    """The LR grid must not alter the shared results schema used by the ALS grids."""
+    from pyspark.ml.linalg import Vectors
+
+    from quire.plans import tune as TU
+    from quire.sources.schemas import RESULTS
+
+    feats = spark.createDataFrame(
+        [(1, i, float(i % 5), Vectors.sparse(3, [i % 3], [1.0])) for i in range(12)],
+        ["user_id", "book_id", "rating", "idf_features"],
+    )
+    before = RESULTS.simpleString()
+    out = TU.lr_grid(spark, feats, feats, [0.1], [0.01], "t", k=5, max_iter=5)
+    assert out.columns[-1] == "net" and out.count() == 1
+    assert RESULTS.simpleString() == before
