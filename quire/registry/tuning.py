@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from quire.functions.columns import typed_interactions
 from quire.operators import blend as B
+from quire.operators import metrics as M
 from quire.operators import models as MD
+from quire.operators import ranking as R
 from quire.plans import tune as TU
 from quire.plans.evaluate import evaluate_topk
 from quire.registry.common import parts, r6, scored, sql_with
@@ -168,7 +170,24 @@ def final_eval(spark, sf_dir):
     )
 
 
+def final_eval_read(spark, sf_dir):
+    """Test-set evaluation of the read-aware variant (read model + unread model),
+    with RMSE also reported per read flag (the unread rows are near zero error)."""
+    train, _, test = parts(spark, sf_dir)
+    pred = TU.cached(MD.read_variant(train, test, PARAMS, UNREAD))
+    m = evaluate_topk(pred, test, k=500)
+    top = R.top_k(pred, 500, "prediction", method="rank")
+    flags = M.rmse_by_flag(top).groupBy().pivot("is_read", [0, 1]).agg(F.first("rmse"))
+    return m.select(
+        F.lit("read").alias("variant"), F.lit("test").alias("split"), "rmse", "map",
+        "coverage", "n_rows", "n_users",
+        flags.select(F.col("0")).scalar().alias("rmse_unread"),
+        flags.select(F.col("1")).scalar().alias("rmse_read"),
+    )
+
+
 QUERIES = {
+    "final_eval_read": final_eval_read,
     "eval_grid": eval_grid,
     "best_config": best_config,
     "grid_pivot": grid_pivot,
