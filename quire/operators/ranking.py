@@ -69,11 +69,17 @@ def rank_by_value(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = hist.select(
-        group_col,
-        value_col,
+        F.col(group_col).alias("_g"),
+        F.col(value_col).alias("_v"),
         (1 + F.coalesce(F.sum("_cnt").over(w), F.lit(0))).cast("int").alias(out),
     )
-    return df.join(ranks, [group_col, value_col], "inner")
+    return _join_back(df, ranks, group_col, value_col)
+
+
+def _join_back(df: DataFrame, table: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Join a (group, value) table back; null values match (null-safe), as in SQL ranks."""
+    cond = (df[group_col] == table["_g"]) & df[value_col].eqNullSafe(table["_v"])
+    return df.join(table, cond, "inner").drop("_g", "_v")
 
 
 def running_count(
@@ -96,9 +102,11 @@ def running_count(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     sizes = hist.select(
-        group_col, value_col, F.sum("_cnt").over(w).cast("int").alias(out)
+        F.col(group_col).alias("_g"),
+        F.col(value_col).alias("_v"),
+        F.sum("_cnt").over(w).cast("int").alias(out),
     )
-    return df.join(sizes, [group_col, value_col], "inner")
+    return _join_back(df, sizes, group_col, value_col)
 
 
 def row_number_by_hash(

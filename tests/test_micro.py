@@ -153,3 +153,18 @@ def test_clamp_keeps_nulls(spark):
     df = spark.createDataFrame([(-1.0,), (2.0,), (None,)], "prediction double")
     vals = [r.prediction for r in B.clamp_predictions(df).collect()]
     assert vals == [0.0, 2.0, None]
+
+
+def test_rank_by_value_keeps_null_values(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 5.0), (1, 2, None), (1, 3, 3.0), (1, 4, None)],
+        "user_id int, book_id int, rating double",
+    )
+    got = {r.book_id: r.true_row for r in R.rank_by_value(df).collect()}
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy(F.col("rating").desc())
+    want = {r.book_id: r.rk for r in df.withColumn("rk", F.rank().over(w)).collect()}
+    assert got == want
+    sizes = {r.book_id: r.running_size for r in R.running_count(df).collect()}
+    assert sizes == {1: 1, 3: 2, 2: 4, 4: 4}
