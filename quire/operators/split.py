@@ -189,10 +189,10 @@ def union_observed(train_users_rows: DataFrame, *observed: DataFrame) -> DataFra
     return out
 
 
-def held_out_except(part_rows: DataFrame, observed: DataFrame) -> DataFrame:
-    """held-out = all - observed with EXCEPT DISTINCT semantics.
+def held_out_except(part_rows: DataFrame, observed: DataFrame, keep_all: bool = False) -> DataFrame:
+    """held-out = all - observed (G3): EXCEPT DISTINCT, or EXCEPT ALL with ``keep_all``.
 
     Prefer the complement predicate (``half == 1``) which needs no shuffle;
     this form is for callers holding two arbitrary tables.
     """
-    return part_rows.subtract(observed)
+    return part_rows.exceptAll(observed) if keep_all else part_rows.subtract(observed)

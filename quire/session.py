@@ -7,7 +7,6 @@ resolve the shared folder used to cut lineage or stage round-trip files.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -83,11 +82,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def local_scratch_dir(prefix: str = "quire-") -> str:
-    """Fresh local folder; only for tests run on a local master."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
-
-
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan over the cluster when it yields too few input splits.
 

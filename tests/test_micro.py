@@ -168,3 +168,17 @@ def test_rank_by_value_keeps_null_values(spark):
     assert got == want
     sizes = {r.book_id: r.running_size for r in R.running_count(df).collect()}
     assert sizes == {1: 1, 3: 2, 2: 4, 4: 4}
+
+
+def test_tokenize_drop_empty(spark):
+    df = spark.createDataFrame([("a  b ",)], "t string")
+    assert df.select(tokenize("t", drop_empty=True).alias("w")).first().w == ["a", "b"]
+
+
+def test_held_out_except_all_keeps_duplicates(spark):
+    from quire.operators import split as S
+
+    a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    b = spark.createDataFrame([(2,)], "x int")
+    assert sorted(r.x for r in S.held_out_except(a, b).collect()) == [1]
+    assert sorted(r.x for r in S.held_out_except(a, b, keep_all=True).collect()) == [1, 1]
