@@ -87,3 +87,33 @@ def test_lr_grid_keeps_result_schema(spark):
     out = TU.lr_grid(spark, feats, feats, [0.1], [0.01], "t", k=5, max_iter=5)
     assert out.columns[-1] == "net" and out.count() == 1
     assert RESULTS.simpleString() == before
+
+
+def test_evaluate_matches_spark_evaluators(spark, parts):
+    """evaluate_topk == RegressionEvaluator on the top-k rows and RankingMetrics on lists."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.mllib.evaluation import RankingMetrics
+    from pyspark.sql import Window
+
+    from quire.operators import ranking as R
+    from quire.plans.evaluate import evaluate_topk
+
+    train, val, _ = parts
+    pred = MD.score(MD.fit_als(train, MD.ALSParams(max_iter=3, rank=4)), val).cache()
+    k = 3
+    got = evaluate_topk(pred, val, k=k, relevant_min=4).first()
+
+    top = R.top_k(pred, k, "prediction", method="rank", out="rk")
+    rmse = RegressionEvaluator(metricName="rmse", labelCol="rating").evaluate(top)
+    assert got.rmse == pytest.approx(rmse, abs=1e-9)
+
+    w = Window.partitionBy("user_id").orderBy("rk", "book_id")
+    lists = (
+        top.withColumn("pos", F.row_number().over(w))
+        .groupBy("user_id")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "book_id"))).alias("p"))
+        .select("user_id", F.col("p.book_id").alias("pred"))
+    )
+    truth = val.where("rating >= 4").groupBy("user_id").agg(F.collect_set("book_id").alias("t"))
+    pairs = lists.join(truth, "user_id").select("pred", "t").rdd.map(lambda r: (r[0], r[1]))
+    assert got.map == pytest.approx(RankingMetrics(pairs).meanAveragePrecision, abs=1e-12)
