@@ -43,7 +43,6 @@ def evaluate_topk(
     top = top.withColumn("_pos", F.row_number().over(w))
     err = F.col(prediction_col).cast("double") - F.col(label_col).cast("double")
 
-    per_pred = top.groupBy(*grp).agg(F.sum(err * err).alias("_se"), F.count("*").alias("_n"))
     truth_rows = heldout if relevant_min is None else heldout.where(
         F.col(label_col) >= relevant_min
     )
@@ -54,18 +53,16 @@ def evaluate_topk(
     )
     n_users = n_held.select(F.count("*")).scalar()
 
-    hits = top.select(*grp, "book_id", "_pos").join(truth, ["user_id", "book_id"])
+    # one pass over the (bounded) top-k rows: flag hits, running hit count, aggregate
+    flagged = top.join(truth.withColumn("_hit", F.lit(1)), ["user_id", "book_id"], "left")
     cum = Window.partitionBy(*grp).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    ap_sum = (
-        hits.withColumn("_cum", F.count("*").over(cum))
-        .groupBy(*grp)
-        .agg(F.sum(F.col("_cum") / F.col("_pos")).alias("_aps"))
-    )
-    per_user = (
-        per_pred.join(n_held, "user_id", "left")
-        .join(n_truth, "user_id", "left")
-        .join(ap_sum, grp, "left")
+    flagged = flagged.withColumn("_cum", F.sum(F.coalesce("_hit", F.lit(0))).over(cum))
+    per_pred = flagged.groupBy(*grp).agg(
+        F.sum(err * err).alias("_se"),
+        F.count("*").alias("_n"),
+        F.sum(F.when(F.col("_hit") == 1, F.col("_cum") / F.col("_pos"))).alias("_aps"),
     )
+    per_user = per_pred.join(n_held, "user_id", "left").join(n_truth, "user_id", "left")
     has_truth = F.col("_nt").isNotNull()
     agg = per_user.groupBy(*cfg).agg(
         F.sqrt(F.sum("_se") / F.sum("_n")).alias("rmse"),
