@@ -82,3 +82,23 @@ def evaluate_topk(
         (F.coalesce(F.col("_cov"), F.lit(0.0)) / F.lit(n_users)).alias("coverage"),
         F.lit(n_users).alias("n_users"),
     )
+
+
+def evaluate_all_items(
+    model,
+    heldout: DataFrame,
+    k: int = 500,
+    relevant_min: float | None = None,
+) -> DataFrame:
+    """The all-items protocol: top-k over the whole catalogue vs held-out truth.
+
+    Unlike the held-out-candidates protocol (whose MAP equals coverage), every
+    catalogue item competes, so this measures ranking quality.  One row:
+    map, map_at_k, precision_at_k, recall_at_k, ndcg_at_k, n_users.
+    """
+    from quire.operators import metrics as M
+    from quire.operators import models as MD
+
+    recs = MD.recommend_top_k(model, heldout, k)
+    truth = heldout if relevant_min is None else heldout.where(F.col("rating") >= relevant_min)
+    return M.ranking_metrics(recs, truth.select("user_id", "book_id"), k=k, pos_col="pos")

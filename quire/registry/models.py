@@ -161,6 +161,15 @@ def recommend_all_items(spark, sf_dir, k: int = 10):
     return recs.select("user_id", "book_id", "pos", r6("prediction"))
 
 
+def map_all_items(spark, sf_dir, k: int = 500):
+    """All-items protocol: top-500 over the catalogue vs relevant held-out pairs."""
+    from quire.plans.evaluate import evaluate_all_items
+
+    train, val, _ = parts(spark, sf_dir)
+    model = MD.fit_als(train, PARAMS)
+    return evaluate_all_items(model, val, k=k, relevant_min=4)
+
+
 def model_roundtrip(spark, sf_dir):
     """Save the fitted model to the shared folder, load it, and compare scores."""
     train, val, _ = parts(spark, sf_dir)
@@ -188,6 +197,7 @@ QUERIES = {
     "review_blend_scores": review_blend_scores,
     "combined_scores": combined_scores,
     "recommend_all_items": recommend_all_items,
+    "map_all_items": map_all_items,
     "model_roundtrip": model_roundtrip,
 }
 

@@ -65,7 +65,7 @@ def test_recommend_top_k_shape(parts):
 
 
 @pytest.mark.parametrize(
-    "name", ["als_baseline", "grid_als", "final_eval", "recommend_all_items"]
+    "name", ["als_baseline", "grid_als", "final_eval", "recommend_all_items", "map_all_items"]
 )
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
