@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 FITTING = {
     "als_baseline", "scored_pairs", "als_read", "als_unread", "read_union_scores",
     "lr_elastic_net", "lr_single_feature", "review_scores", "review_blend_scores",
-    "combined_scores", "recommend_all_items", "model_roundtrip", "grid_als",
+    "combined_scores", "recommend_all_items", "map_all_items", "model_roundtrip", "grid_als",
     "grid_als_read", "grid_lr", "grid_review_blend", "grid_combined", "final_eval",
     "feature_tables",
 }
