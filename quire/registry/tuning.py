@@ -130,10 +130,17 @@ def grid_als_read(spark, sf_dir):
     return TU.grid_search(spark, GRID, TU.read_scorer(train, val, UNREAD), val, "read", "sf")
 
 
+def _released(results, *cached):
+    """Grid results are built from collected metric rows, so inputs can be released."""
+    for df in cached:
+        df.unpersist()
+    return results
+
+
 def grid_lr(spark, sf_dir):
     _, _, tr_f, va_f = _review_features(spark, sf_dir)
     tr_f, va_f = TU.cached(tr_f), TU.cached(va_f)
-    return TU.lr_grid(spark, tr_f, va_f, [0.1, 0.2], [0.01], "sf", k=25)
+    return _released(TU.lr_grid(spark, tr_f, va_f, [0.1, 0.2], [0.01], "sf", k=25), tr_f, va_f)
 
 
 def _review_val_predictions(tr_f, va_f):
@@ -144,8 +151,10 @@ def grid_review_blend(spark, sf_dir):
     train, val, tr_f, va_f = _review_features(spark, sf_dir)
     review = TU.cached(_review_val_predictions(tr_f, va_f))
     valt = TU.cached(typed_interactions(val))
-    scorer = TU.review_blend_scorer(TU.cached(train), valt, review)
-    return TU.grid_search(spark, GRID, scorer, valt, "review", "sf")
+    train = TU.cached(train)
+    scorer = TU.review_blend_scorer(train, valt, review)
+    return _released(TU.grid_search(spark, GRID, scorer, valt, "review", "sf"),
+                     review, valt, train)
 
 
 def grid_combined(spark, sf_dir):
@@ -155,8 +164,10 @@ def grid_combined(spark, sf_dir):
     read_feats = B.read_rows(va_f.join(flags, keys))
     review = TU.cached(_review_val_predictions(tr_f, read_feats))
     valt = TU.cached(typed_interactions(val))
-    scorer = TU.combined_scorer(TU.cached(train), valt, review, UNREAD)
-    return TU.grid_search(spark, GRID, scorer, valt, "combined", "sf")
+    train = TU.cached(train)
+    scorer = TU.combined_scorer(train, valt, review, UNREAD)
+    return _released(TU.grid_search(spark, GRID, scorer, valt, "combined", "sf"),
+                     review, valt, train)
 
 
 def final_eval(spark, sf_dir):
