@@ -77,13 +77,32 @@ def read_union_scores(spark, sf_dir):
     return pred.select("user_id", "book_id", "is_read")
 
 
-def _review_features(spark, sf_dir):
+def _review_feature_table(spark, sf_dir):
+    """Train and validation review features from one pipeline fit, tagged by part."""
     train, val, _ = parts(spark, sf_dir)
     rev = FX.reviews(spark, sf_dir)
     keys = ["user_id", "book_id", "rating"]
     tr = typed_interactions(train).join(rev, keys).select(*keys, "review_text")
     va = typed_interactions(val).join(rev, keys).select(*keys, "review_text")
     _, (tr_f, va_f) = T.feature_tables(tr, va)
+    return tr_f.withColumn("part", F.lit("train")).unionByName(
+        va_f.withColumn("part", F.lit("val"))
+    )
+
+
+def _review_features(spark, sf_dir):
+    """(train, val, train features, val features).
+
+    Like the original's review feature Parquet files, the feature tables are
+    fitted and written once per application; every regression or blend query
+    reads pruned partitions of that table.
+    """
+    train, val, _ = parts(spark, sf_dir)
+    table = FX.staged(spark, sf_dir, "review-features", _review_feature_table,
+                      partition_by="part")
+    tr_f, va_f = (
+        table.where(F.col("part") == p).drop("part") for p in ("train", "val")
+    )
     return train, val, tr_f, va_f
 
 
