@@ -118,10 +118,11 @@ def lr_grid(
     rows = []
     for reg, net in product(regs, nets):
         model = MD.fit_lr(train_feats, reg, net, max_iter=max_iter)
-        pred = MD.review_predictions(model, val_feats)
+        pred = cached(MD.review_predictions(model, val_feats))  # read by two actions
         m = evaluate_topk(pred, val_feats, k=k).first()
         err = F.col("prediction") - F.col("rating")
         rmse_all = pred.agg(F.sqrt(F.avg(err * err))).first()[0]
+        pred.unpersist()
         rows.append(
             ("lr", sample, max_iter, 0, float(reg), _f(rmse_all), _f(m["map"]), float(net))
         )
