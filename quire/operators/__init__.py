@@ -1 +1,2 @@
-"""quire."""
+"""DataFrame -> DataFrame operators: split, ranking, metrics, text, blend,
+models and profiles."""

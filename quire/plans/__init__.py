@@ -1 +1 @@
-"""quire."""
+"""Composed jobs: materialised split, evaluation, grid search, flagship."""
