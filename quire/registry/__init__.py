@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-import importlib
-
-MODULES = (
-    "sources",
-    "scalar",
-    "joins",
-    "aggregates",
-    "windows",
-    "setops",
-    "split",
-    "text",
-    "metrics",
-    "models",
-    "tuning",
+from quire.registry import (
+    aggregates,
+    joins,
+    metrics,
+    models,
+    scalar,
+    setops,
+    sources,
+    split,
+    text,
+    tuning,
+    windows,
 )
 
-
-def _modules():
-    for name in MODULES:
-        try:
-            yield importlib.import_module(f"quire.registry.{name}")
-        except ModuleNotFoundError as exc:  # module not written yet
-            if exc.name != f"quire.registry.{name}":
-                raise
+MODULES = (sources, scalar, joins, aggregates, windows, setops, split, text, metrics, models,
+           tuning)
 
 
 def all_queries() -> dict:
     out: dict = {}
-    for m in _modules():
+    for m in MODULES:
         out.update(m.QUERIES)
     return out
 
 
 def all_oracles() -> dict:
     out: dict = {}
-    for m in _modules():
+    for m in MODULES:
         out.update(getattr(m, "ORACLE", {}))
     return out
