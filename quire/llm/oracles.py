@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+),
+sh as (
+  select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as s
+  from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5)
+  union select doc_id, array_to_string(ws, ' ') from w where len(ws) between 1 and 4
+),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as i from sh x join sh y on x.s = y.s and x.doc_id < y.doc_id group by 1, 2
+),
+links as (
+  select a, b from common join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * i >= 85 * (na.n + nb.n - i)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id as v, doc_id as c from n
+  union select b, c from reach join both_ways on a = v
+),
+comp as (select v, min(c) as c from reach group by v)
+select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(c, w.doc_id) as component_id,
+  w.doc_id = coalesce(c, w.doc_id) as kept
+from w left join n on n.doc_id = w.doc_id left join comp on v = w.doc_id
+"""
+
 OP9 = r"""
 with d as (select doc_id, source, coalesce(text, '') as text from documents),
 w as (select doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws from d),
@@ -45,5 +73,6 @@ from m
 """
 
 ORACLE: dict[str, str] = {
+    "op3_minhash_dedup": OP3,
     "op9_quality_rules": OP9,
 }

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm import minhash_dedup as neardup
 from quire.llm import quality_rules as quality
 from quire.llm.common import read_table
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and survivor of every document."""
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return quality.score_documents(read_table(spark, sf_dir, "documents")).select(
@@ -19,5 +25,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
