@@ -30,6 +30,33 @@ select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(c, w.d
 from w left join n on n.doc_id = w.doc_id left join comp on v = w.doc_id
 """
 
+OP7 = r"""
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+win as (
+  select doc_id, i, substr(x, 2 * i + 1, 100) as w
+  from (select doc_id, x, unnest(range(0, len(x) // 2 - 49)) as i from d where len(x) >= 100)
+),
+firsts as (select w, min(doc_id) as f from win group by w having min(doc_id) <> max(doc_id)),
+hit as (select doc_id, i from win join firsts using (w) where f < doc_id),
+isl as (
+  select doc_id, i, sum(case when i <= prev + 50 then 0 else 1 end) over (partition by doc_id order by i) as g
+  from (select doc_id, i, coalesce(lag(i) over (partition by doc_id order by i), -100) as prev from hit)
+),
+runs as (select doc_id, min(i) as b, max(i) + 50 as e from isl group by doc_id, g),
+gaps as (
+  select doc_id, b, lag(e, 1, 0) over (partition by doc_id order by b) as prev_e, e,
+         lead(b) over (partition by doc_id order by b) as nxt from runs
+),
+kept as (
+  select g.doc_id, string_agg(substr(x, 2 * prev_e + 1, 2 * (b - prev_e)), '' order by b)
+         || substr(max(x), 2 * max(e) + 1) as k, sum(e - b) as lost, count(*) as n
+  from gaps g join d using (doc_id) group by g.doc_id
+)
+select d.doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(lost, 0) as bigint) as n_removed,
+  cast(coalesce(n, 0) as bigint) as n_spans, sha256(unhex(coalesce(k, x))) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 OP9 = r"""
 with d as (select doc_id, source, coalesce(text, '') as text from documents),
 w as (select doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws from d),
@@ -74,5 +101,6 @@ from m
 
 ORACLE: dict[str, str] = {
     "op3_minhash_dedup": OP3,
+    "op7_suffix_dedup": OP7,
     "op9_quality_rules": OP9,
 }

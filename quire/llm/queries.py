@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import minhash_dedup as neardup
 from quire.llm import quality_rules as quality
+from quire.llm import suffix_dedup as repeats
 from quire.llm.common import read_table
 
 
@@ -16,6 +17,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed and kept of every document."""
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return quality.score_documents(read_table(spark, sf_dir, "documents")).select(
@@ -26,5 +32,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
