@@ -407,26 +407,28 @@ def remove_repeats(docs: DataFrame, p: RepeatParams = PARAMS, carry: list[str] |
     dealt = docs.select(F.pmod(F.xxhash64(deal), F.lit(buckets)).cast("int").alias("bucket"), *columns)
     by_bucket = dealt.groupBy("bucket")
 
-    anchors = by_bucket.applyInArrow(_report_anchors(p), "gram long, bucket int")
+    anchors = by_bucket.applyInArrow(_report_anchors(p), "gram long not null, bucket int not null")
     shared = (
         anchors.withColumn("k", F.count("*").over(W.partitionBy("gram"))).filter("k > 1").select("bucket", "gram")
     )
     spans = by_bucket.cogroup(shared.groupBy("bucket")).applyInArrow(
-        _report_spans(p), "gram long, span long, bucket int, doc long, n int"
+        _report_spans(p), "gram long not null, span long not null, bucket int not null, doc long not null, n int not null"
     )
-    seen = spans.select(
+    # both uses of ``seen`` read the same columns and none is nullable, so no filter or pruning
+    # tells their plans apart and Spark runs and shuffles the spans once
+    seen = spans.repartition("gram").select(
         "*",
         F.min("doc").over(W.partitionBy("gram", "span")).alias("first"),
         F.min("span").over(W.partitionBy("gram")).alias("lo"),
         F.max("span").over(W.partitionBy("gram")).alias("hi"),
     )
     whole = seen.filter("first < doc").select("bucket", "span", F.lit(0).alias("at"), "n", "first")
-    several = seen.filter("lo <> hi and first = doc")
+    several = seen.filter("lo <> hi and first = doc and n > 0")
     wanted = several.select("bucket", "span", "doc")
     raw = by_bucket.cogroup(wanted.groupBy("bucket")).applyInArrow(
-        _report_bytes(p), "gram long, span long, doc long, bytes binary"
+        _report_bytes(p), "gram long not null, span long not null, doc long not null, bytes binary not null"
     )
-    counted = raw.withColumn("k", F.count("*").over(W.partitionBy("gram")))
+    counted = raw.repartition("gram").withColumn("k", F.count("*").over(W.partitionBy("gram")))
     few = counted.filter(F.col("k") <= p.spans_in_task).select("gram", "span", "doc", "bytes")
     resolved = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(
         _resolve(p), "gram long, span long, at int, n int, first long"
@@ -435,7 +437,7 @@ def remove_repeats(docs: DataFrame, p: RepeatParams = PARAMS, carry: list[str] |
         "gram", "span", "doc", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - p.length)).alias("at")
     )
     many = many.select("gram", "span", "doc", "at", F.expr(f"substring(bytes, at + 1, {p.length})").alias("win"))
-    least = many.groupBy("gram", "win").agg(F.min("doc").alias("first"))
+    least = many.groupBy("gram", "win").agg(F.min(F.struct("doc", "span"))["doc"].alias("first"))
     resolved_many = (
         many.join(least, ["gram", "win"]).filter("first < doc").select("gram", "span", "at", F.lit(1).alias("n"), "first")
     )
