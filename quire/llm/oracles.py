@@ -2,6 +2,51 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+with s as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+         md5(cast(doc_id as varchar)) as k from documents
+),
+src as (
+  select source, cast(sum(size) as bigint) as source_size,
+         cast(row_number() over (order by source nulls last) - 1 as bigint) as idx from s group by source
+),
+wt as (select *, [5, 2, 1][idx % 3 + 1] as w, 2 * source_size as cap from src),
+lv as (
+  select *, 1.5::double * sum(source_size) over () as budget,
+    (1.5::double * sum(source_size) over () - coalesce(sum(cap) over o, 0)) / (sum(w) over () - coalesce(sum(w) over o, 0)) as level
+  from wt window o as (order by cap / w::double, idx rows between unbounded preceding and 1 preceding)
+),
+cp as (select *, cap / w::double <= level as capped from lv),
+tg as (
+  select idx, source, source_size, case when capped then cap::double
+    else w * (budget - sum(case when capped then cap else 0 end) over ()) / sum(case when capped then 0 else w end) over () end as target,
+    (source_size + 31) // 32 as blocks from cp
+),
+sl as (select *, case when source_size > 0 then cast(floor(target * blocks / source_size + 0.5) as bigint) else 0 end as slots from tg),
+draw as (
+  select idx, blocks, j // blocks as turn, j % blocks as i
+  from (select idx, blocks, unnest(range(0, slots)) as j from sl where slots > 0)
+),
+blk as (
+  select idx, (((i + (idx * 7919 + turn * 104729 + 1) % blocks) % blocks)
+               * [2147483647, 2147483629, 2147483587, 2147483579][(idx + turn) % 4 + 1]) % blocks as block, count(*) as times
+  from draw group by 1, 2
+),
+pos as (
+  select s.doc_id, size, idx, source_size, target,
+    coalesce(sum(size) over (partition by idx order by k, doc_id rows between unbounded preceding and 1 preceding), 0) as o
+  from s join sl on s.source is not distinct from sl.source
+),
+pc as (select doc_id, idx, o, size, unnest(range(cast(o // 32 as bigint), cast((o + size - 1) // 32 + 1 as bigint))) as block from pos where size > 0),
+tk as (
+  select doc_id, sum((least(o + size, (pc.block + 1) * 32) - greatest(o, pc.block * 32)) * times) as taken
+  from pc join blk on pc.idx = blk.idx and pc.block = blk.block group by doc_id
+)
+select pos.doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
+from pos left join tk using (doc_id)
+"""
+
 OP3 = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -100,6 +145,7 @@ from m
 """
 
 ORACLE: dict[str, str] = {
+    "op2_source_mix": OP2,
     "op3_minhash_dedup": OP3,
     "op7_suffix_dedup": OP7,
     "op9_quality_rules": OP9,

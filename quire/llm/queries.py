@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import minhash_dedup as neardup
 from quire.llm import quality_rules as quality
+from quire.llm import source_mix as mixing
 from quire.llm import suffix_dedup as repeats
 from quire.llm.common import read_table
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component and survivor of every document."""
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -31,6 +37,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mix": op2_source_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_quality_rules": op9_quality_rules,
