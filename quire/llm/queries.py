@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import minhash_dedup as neardup
 from quire.llm import quality_rules as quality
+from quire.llm import sentence_pieces as pieces
 from quire.llm import source_mix as mixing
 from quire.llm import suffix_dedup as repeats
 from quire.llm.common import read_table
@@ -28,6 +29,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text and whether they decode to it."""
+    return pieces.encode(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return quality.score_documents(read_table(spark, sf_dir, "documents")).select(
@@ -40,5 +46,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_sentence_pieces": op8_sentence_pieces,
     "op9_quality_rules": op9_quality_rules,
 }
