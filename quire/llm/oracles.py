@@ -75,6 +75,21 @@ select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(c, w.d
 from w left join n on n.doc_id = w.doc_id left join comp on v = w.doc_id
 """
 
+OP5 = r"""
+with p as (select page_id, coalesce(html, '') as h from pages),
+x as (select page_id, cast(octet_length(encode(h)) as bigint) as payload_bytes, sha1(h) as s from p),
+f as (select *, min(page_id) over (partition by s) as first from x),
+v as (
+  select *, list_transform(range(0, 8), lambda g: cast('0x' || substr(s, cast(5 * g + 1 as bigint), 5) as bigint)) as q from f
+)
+select page_id, payload_bytes,
+  array_to_string(list_transform(q, lambda n: array_to_string(list_transform([15, 10, 5, 0],
+    lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((n >> b) % 32 + 1 as bigint), 1)), '')), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id = first then null else first end as refers_to, true as whole
+from v
+"""
+
 OP7 = r"""
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
 win as (
@@ -147,6 +162,7 @@ from m
 ORACLE: dict[str, str] = {
     "op2_source_mix": OP2,
     "op3_minhash_dedup": OP3,
+    "op5_warc": OP5,
     "op7_suffix_dedup": OP7,
     "op9_quality_rules": OP9,
 }
