@@ -11,7 +11,7 @@ from quire.llm import quality_rules as quality
 from quire.llm import sentence_pieces as pieces
 from quire.llm import source_mix as mixing
 from quire.llm import suffix_dedup as repeats
-from quire.llm import warc
+from quire.llm import toxicity, warc
 from quire.llm.common import read_table
 
 
@@ -25,6 +25,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels that are not held out."""
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as it comes back from the archives."""
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("record_id")
@@ -51,6 +56,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sentence_pieces": op8_sentence_pieces,
