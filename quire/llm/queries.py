@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import minhash_dedup as neardup
+from quire.llm import prefix_forest as forest
 from quire.llm import quality_rules as quality
 from quire.llm import sentence_pieces as pieces
 from quire.llm import source_mix as mixing
@@ -15,6 +16,11 @@ from quire.llm import toxicity, warc
 from quire.llm.common import read_table
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return forest.search(read_table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
@@ -54,6 +60,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_prefix_forest": op1_prefix_forest,
     "op2_source_mix": op2_source_mix,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_toxicity": op4_toxicity,
