@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm import license_scan as licenses
 from quire.llm import minhash_dedup as neardup
 from quire.llm import prefix_forest as forest
 from quire.llm import quality_rules as quality
@@ -41,6 +42,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("record_id")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels and places of every whole text."""
+    return licenses.scan(read_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed and kept of every document."""
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
+    "op6_license_scan": op6_license_scan,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_quality_rules": op9_quality_rules,
