@@ -159,10 +159,51 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m
 """
 
+OP10 = r"""
+with cap as (
+  select page_id, cast((page_id * 7919) % 365 as int) as day,
+    nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', ''), '') as host
+  from pages
+),
+hosts as (select distinct host from cap where host is not null),
+lab as (select host, string_split(host, '.') as ls from hosts),
+par as (select host, array_to_string(ls[i:], '.') as domain, len(ls) - i + 1 as labels
+        from (select host, ls, unnest(range(1, len(ls))) as i from lab)),
+pairs as (
+  select domain, l.list, l.allows, cast('0x' || substr(md5(l.list || '|' || domain), 1, 8) as bigint) as b
+  from (select distinct domain from par),
+       (values ('adult', false), ('malware', false), ('partners', true), ('spam', false)) as l(list, allows)
+),
+ev as (
+  select list, allows, domain, b, cast((b // 5) % 330 as int) as day, true as added from pairs where b % 5 = 0
+  union all select list, allows, domain, b, cast((b // 5) % 330 + 10 + (b // 7) % 90 as int), false
+    from pairs where b % 5 = 0 and b % 2 = 0
+  union all select list, allows, domain, b, cast((b // 5) % 330 + 25 + (b // 7) % 90 as int), true
+    from pairs where b % 5 = 0 and b % 2 = 0 and b % 3 = 0
+),
+iv as (
+  select *, lead(day) over (partition by list, domain order by day) as till from ev
+),
+hit as (
+  select c.host, c.day, i.list, i.allows, p.labels
+  from (select distinct host, day from cap where host is not null) c join par p on p.host = c.host
+  join iv i on i.domain = p.domain and i.added and i.day <= c.day and (i.till is null or c.day < i.till)
+),
+best as (
+  select host, day, string_agg(distinct list, ',' order by list) as lists, count(distinct list) as n_lists,
+    arg_max(allows, labels * 1000000 + (case when allows then 100000 else 0 end)) as allows
+  from hit group by host, day
+)
+select page_id, cap.host, cap.day, coalesce(lists, '') as lists, cast(coalesce(n_lists, 0) as bigint) as n_lists,
+  case when coalesce(allows, true) then 'keep' else 'drop' end as verdict
+from cap left join best on cap.host = best.host and cap.day = best.day
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mix": OP2,
     "op3_minhash_dedup": OP3,
     "op5_warc": OP5,
     "op7_suffix_dedup": OP7,
     "op9_quality_rules": OP9,
+    "op10_url_filters": OP10,
 }

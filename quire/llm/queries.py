@@ -13,7 +13,7 @@ from quire.llm import quality_rules as quality
 from quire.llm import sentence_pieces as pieces
 from quire.llm import source_mix as mixing
 from quire.llm import suffix_dedup as repeats
-from quire.llm import toxicity, warc
+from quire.llm import toxicity, url_filters, warc
 from quire.llm.common import read_table
 
 
@@ -65,6 +65,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries valid on its fetch day."""
+    pages = read_table(spark, sf_dir, "pages")
+    judged = url_filters.evaluate(url_filters.page_captures(pages), url_filters.derived_entries(pages))
+    return judged.select("page_id", "host", "day", "lists", "n_lists", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_prefix_forest": op1_prefix_forest,
     "op2_source_mix": op2_source_mix,
@@ -75,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_quality_rules": op9_quality_rules,
+    "op10_url_filters": op10_url_filters,
 }
