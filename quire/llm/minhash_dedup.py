@@ -14,7 +14,8 @@ buckets are largest); confirmed links are closed into components.  What is then
 left, buckets with several components, goes on by an exact bound: a document
 whose shingles are too often found in no other candidate cannot reach the
 threshold with anyone.  The survivors are compared once more with a centre and
-the rest pairwise across components, so no candidate link is given up.
+the rest across components where a second exact bound, from counts of shingles
+by their first bits, allows a link; no candidate link is given up.
 
 Defined results: null or wordless texts have an empty set and are linked with
 nothing; a null doc_id has no component (null) and is kept; rows that share a
@@ -50,6 +51,8 @@ class NearDupParams:
 
 
 PARAMS = NearDupParams()
+_CELLS = 128
+_CELL_SHIFT = np.uint64(57)
 
 
 def fast_sketch(elements: np.ndarray, first: np.ndarray, bins: int, seed: int) -> np.ndarray:
@@ -119,7 +122,12 @@ def _set_batches(size: int):
                 words, first = tk.word_hashes(tk.LOWER[buf], starts)
                 sets, at = tk.shingle_sets(words, first, size)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["doc", "shingles"])
+                cell = np.repeat(np.arange(hi - lo), np.diff(at)) * _CELLS + (sets >> _CELL_SHIFT).astype(np.int64)
+                counts = np.bincount(cell, minlength=(hi - lo) * _CELLS).astype(np.int32)
+                counts = pa.FixedSizeListArray.from_arrays(pa.array(counts), _CELLS).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), lists, counts], names=["doc", "shingles", "cells"]
+                )
 
     return run
 
@@ -132,10 +140,14 @@ def sketches(docs: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
-    """doc, shingles: full shingle sets of the documents in ``wanted`` (column doc)."""
+    """doc, shingles, cells: full shingle sets of the documents in ``wanted`` (column doc).
+
+    ``cells`` counts a set's shingles by their first bits; two sets have at most
+    the sum of their cells' minima in common.
+    """
     some = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string"))
     return some.join(wanted.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        _set_batches(p.shingle), "doc long, shingles array<long>"
+        _set_batches(p.shingle), "doc long, shingles array<long>, cells array<int>"
     )
 
 
@@ -209,7 +221,10 @@ def find_components(docs: DataFrame, p: NearDupParams = PARAMS) -> tuple[DataFra
     keys = ["set1", "set2", "n_shingles"]
     classes = full.groupBy(*keys).agg(F.min("doc_id").alias("rep"))
     rows = written(
-        sk.select("doc_id", *keys).join(classes, keys, "left").select("doc_id", "n_shingles", "rep"), "neardup-rows"
+        sk.select("doc_id", *keys)
+        .join(classes, keys, "left")
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")),
+        "neardup-rows",
     )
     one = full.join(classes, keys).filter("doc_id = rep").dropDuplicates(["doc_id", *keys])
     banded = one.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
@@ -233,12 +248,16 @@ def find_components(docs: DataFrame, p: NearDupParams = PARAMS) -> tuple[DataFra
     for last in (False, True):
         open_ = _open_members(members, comps, sets, p)
         if last:
-            x = open_.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "comp")])
-            y = open_.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "comp")])
+            open_ = open_.join(sets.select("doc", "cells"), "doc")
+            x = open_.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "comp", "cells")])
+            y = open_.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "comp", "cells")])
+            least = F.zip_with("x_cells", "y_cells", lambda a, b: F.least(a, b))
+            common = F.aggregate(least, F.lit(0), lambda a, b: a + b)
             pairs = x.join(y, "bucket").filter(
                 (F.col("x_doc") < F.col("y_doc"))
                 & (F.col("x_comp") != F.col("y_comp"))
                 & _size_fits("x_n", "y_n", p.percent)
+                & ((100 + p.percent) * common >= p.percent * (F.col("x_n") + F.col("y_n")))
             )
             pairs = pairs.select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")).distinct()
         else:
