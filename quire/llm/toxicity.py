@@ -122,9 +122,10 @@ def _compressed(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def document_features(scores: np.ndarray, m: Model) -> tuple[float, float, list[tuple[int, int, float]]]:
     """(normalised best score, sum over significant segments, those segments) of a document's words."""
     size = math.log(max(1, len(scores)))
-    best = m.lam * best_segment(scores) - m.log_k - size
+    raw = best_segment(scores)
+    best = m.lam * raw - m.log_k - size
     limit = -math.log(m.max_expected)
-    if best < limit:
+    if best < limit or not raw:
         return best, 0.0, []
     sums, at = _compressed(scores)
     found = []
