@@ -51,8 +51,3 @@ def clamp_zero(c: ColumnLike) -> Column:
 def first_present(*cols: ColumnLike) -> Column:
     """Blend: first non-null prediction in priority order."""
     return F.coalesce(*[_col(c) for c in cols])
-
-
-def nan_to_null(c: ColumnLike) -> Column:
-    c = _col(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)

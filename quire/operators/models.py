@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators import blend as B
@@ -31,7 +31,9 @@ class ALSParams:
     implicit: bool = False
     alpha: float = 1.0
     checkpoint_interval: int = 10
-    blocks: int | None = None  # default: half the cluster's default parallelism
+    #: user and item blocks.  Spark seeds the factors per block, so the fitted model
+    #: depends on it: a constant, not the cluster's size (10 is Spark's default)
+    blocks: int = 10
 
 
 UNREAD_PARAMS = ALSParams(max_iter=5, rank=10, reg=0.0)
@@ -44,13 +46,12 @@ def als_estimator(
     item_col: str = "book_id",
     rating_col: str = "rating",
 ) -> ALS:
-    """The ALS estimator with a fixed seed; blocks follow the cluster size.
+    """The ALS estimator with a fixed seed and a fixed number of blocks.
 
     A checkpoint directory is ensured (the cluster's ``spark.checkpoint.dir``)
     so long iteration lineages are cut and survive executor loss.
     """
     ensure_checkpoint_dir(spark)
-    blocks = params.blocks or max(2, spark.sparkContext.defaultParallelism // 2)
     return ALS(
         maxIter=params.max_iter,
         rank=params.rank,
@@ -61,8 +62,8 @@ def als_estimator(
         implicitPrefs=params.implicit,
         alpha=params.alpha,
         checkpointInterval=params.checkpoint_interval,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=params.blocks,
+        numItemBlocks=params.blocks,
         userCol=user_col,
         itemCol=item_col,
         ratingCol=rating_col,
@@ -112,15 +113,26 @@ def read_variant(
 
 
 def recommend_top_k(model: ALSModel, users: DataFrame, k: int,
-                    user_col: str = "user_id", item_col: str = "book_id") -> DataFrame:
+                    user_col: str = "user_id", item_col: str = "book_id",
+                    seen: DataFrame | None = None) -> DataFrame:
     """Top-k items over the whole catalogue for the given users.
 
     Spark scores factor *blocks* against each other and keeps a bounded top-k
-    per user and block, so memory per user is O(k), never O(#items).  Output is
-    long form (user, item, pos, prediction).
+    per user and block, so memory per user is O(k), never O(#items).  With
+    ``seen`` (user, item) pairs a user's seen items take up no places: the list
+    is asked for as many more items as any of these users has seen, seen pairs
+    are removed, and the positions are counted anew.  Output is long form
+    (user, item, pos, prediction).
     """
-    recs = model.recommendForUserSubset(users.select(user_col).distinct(), k)
-    return recs.select(
+    asked = users.select(user_col).distinct()
+    more = 0
+    if seen is not None:
+        seen = seen.select(user_col, item_col).distinct()
+        most = (
+            seen.join(asked, user_col, "left_semi").groupBy(user_col).count().agg(F.max("count"))
+        )
+        more = most.first()[0] or 0
+    recs = model.recommendForUserSubset(asked, k + more).select(
         user_col, F.posexplode("recommendations").alias("pos0", "rec")
     ).select(
         user_col,
@@ -128,35 +140,22 @@ def recommend_top_k(model: ALSModel, users: DataFrame, k: int,
         (F.col("pos0") + 1).cast("int").alias("pos"),
         F.col("rec.rating").alias("prediction"),
     )
-
-
-LR_ROWS_PER_PARTITION = 50_000
-
-
-def sized_for_iterations(df: DataFrame, rows_per_partition: int = LR_ROWS_PER_PARTITION):
-    """Persist an iterative fit's input on partitions sized by volume.
-
-    Every optimizer iteration is a job over all partitions, so many tiny
-    partitions cost per-task overhead 200 times over; large inputs keep (at
-    least) one partition per ``rows_per_partition`` rows.  Coalesce only (no
-    shuffle).
-    """
-    n = df.count()
-    current = df.rdd.getNumPartitions()
-    target = max(1, -(-n // rows_per_partition))
-    out = df.coalesce(target) if target < current else df
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
+    if seen is None:
+        return recs
+    unseen = recs.join(seen, [user_col, item_col], "left_anti")
+    w = Window.partitionBy(user_col).orderBy("pos")
+    return unseen.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
 
 
 def fit_lr(train: DataFrame, reg: float, net: float, max_iter: int = 200,
            features_col: str = "idf_features", label_col: str = "rating",
            solver: str = "auto") -> LinearRegressionModel:
-    """Elastic-net linear regression (J4) on a volume-sized, persisted input."""
+    """Elastic-net linear regression (J4); its input is persisted on the partitions it has."""
     lr = LinearRegression(
         featuresCol=features_col, labelCol=label_col, regParam=reg,
         elasticNetParam=net, maxIter=max_iter, solver=solver,
     )
-    data = sized_for_iterations(train.select(features_col, label_col))
+    data = train.select(features_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return lr.fit(data)
     finally:

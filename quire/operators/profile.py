@@ -32,16 +32,17 @@ def describe(df: DataFrame, cols) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row_col: str, col_col: str, values, prefix: str = "r") -> DataFrame:
-    """Contingency table with explicit pivot values (D8): no extra distinct pass."""
-    pivoted = df.groupBy(row_col).pivot(col_col, list(values)).count()
-    out = pivoted.select(
-        row_col,
-        *[
-            F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(f"{prefix}{i}")
-            for i, c in enumerate(pivoted.columns[1:])
-        ],
-    )
-    return out
+    """Contingency table with explicit values (D8): no extra distinct pass.
+
+    Values that are not listed are counted in ``{prefix}_other``, nulls in
+    ``{prefix}_null``, so every row of the table is counted once.
+    """
+    c = F.col(col_col)
+    listed = c.isin([*values])
+    counts = [F.count_if(c == v).alias(f"{prefix}{i}") for i, v in enumerate(values)]
+    counts.append(F.count_if(c.isNotNull() & ~listed).alias(f"{prefix}_other"))
+    counts.append(F.count_if(c.isNull()).alias(f"{prefix}_null"))
+    return df.groupBy(row_col).agg(*counts)
 
 
 def user_counts(df: DataFrame, n: int = 5, user_col: str = "user_id") -> DataFrame:

@@ -2,9 +2,9 @@
 
 Skew rules used here (a single user may own a third of all rows):
 
-* top-k windows keep the ``rank``/``row_number`` filter adjacent to the window
-  so Catalyst plans a partial ``WindowGroupLimit`` before the shuffle - each
-  map task forwards at most k rows per user;
+* top-k windows keep the ``row_number`` filter adjacent to the window so
+  Catalyst plans a partial ``WindowGroupLimit`` before the shuffle - each map
+  task forwards at most k rows per user; ``rank`` adds tied rows by a join;
 * ranks over a low-cardinality key (ratings) come from a pre-aggregated
   histogram instead of sorting the user's rows;
 * row numbers over a hash key are computed per (user, hash sub-range), so a hot
@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SUB_RANGE_BITS = 10  # 1024 sub-ranges of a 32-bit hash
-
 
 def _order(col: str, desc: bool) -> Column:
     return F.col(col).desc() if desc else F.col(col).asc()
@@ -38,16 +36,73 @@ def top_k(
     ``method='rank'`` keeps ties (can return more than k rows per group, as
     the original evaluation does); ``'row_number'`` returns exactly
     min(k, n) rows, ties broken by ``tie_break`` ascending.
+
+    ``'rank'`` never windows over a group of ties: the first k rows per group
+    (bounded) give the ranks of the scores that count, and the rows with these
+    scores are found by a join on (group, score).
     """
+    groups = [group_col] if isinstance(group_col, str) else list(group_col)
     order = [_order(score_col, desc)]
-    if method == "row_number" and tie_break:
+    if method == "rank":
+        return _rank_with_ties(df, k, score_col, groups, order, out)
+    if tie_break:
         order.append(F.col(tie_break).asc())
-    groups = [group_col] if isinstance(group_col, str) else list(group_col)
     w = Window.partitionBy(*groups).orderBy(*order)
-    fn = {"rank": F.rank, "row_number": F.row_number, "dense_rank": F.dense_rank}[method]
+    fn = {"row_number": F.row_number, "dense_rank": F.dense_rank}[method]
     return df.withColumn(out, fn().over(w)).where(F.col(out) <= k)
 
 
+def _rank_with_ties(df, k, score_col, groups, order, out):
+    slim = df.select(*groups, score_col)
+    first = slim.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    ).where(F.col("_rn") <= k)
+    # all rows above a score among the first k are among them too: rank = first position
+    ranks = first.groupBy(*groups, score_col).agg(F.min("_rn").cast("int").alias(out))
+    ranks = ranks.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(score_col).alias("_v"), out
+    )
+    cond = df[score_col].eqNullSafe(ranks["_v"])
+    for i, g in enumerate(groups):
+        cond &= df[g].eqNullSafe(ranks[f"_g{i}"])
+    return df.join(ranks, cond).drop("_v", *[f"_g{i}" for i in range(len(groups))])
+
+
+def positions(
+    df: DataFrame,
+    group_col: str | list[str],
+    rank_col: str,
+    tie_col: str = "book_id",
+    out: str = "pos",
+    sub_ranges: int = 1024,
+) -> DataFrame:
+    """``row_number() over (partition by group order by rank, tie)`` from ranks.
+
+    Ties are numbered in sub-ranges of ``tie_col`` (an integer) with offsets,
+    so a group that is one large tie is spread over many tasks: the position
+    is the rank plus the tied rows in earlier sub-ranges plus those before it
+    in its own.
+    """
+    groups = [group_col] if isinstance(group_col, str) else list(group_col)
+    tie = [*groups, rank_col]
+    span = df.agg(F.min(tie_col).alias("_lo"), F.max(tie_col).alias("_hi"))
+    lo, hi = span.select("_lo").scalar(), span.select("_hi").scalar()
+    width = F.ceil((hi - lo + 1) / F.lit(float(sub_ranges)))
+    keyed = df.withColumn("_sub", F.floor((F.col(tie_col) - lo) / width))
+    counts = keyed.groupBy(*tie, "_sub").agg(F.count("*").alias("_cnt"))
+    before = Window.partitionBy(*tie).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *tie, "_sub", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")
+    )
+    inside = Window.partitionBy(*tie, "_sub").orderBy(tie_col)
+    return (
+        keyed.withColumn("_in", F.row_number().over(inside))
+        .join(offsets, [*tie, "_sub"])
+        .withColumn(out, (F.col(rank_col) + F.col("_offset") + F.col("_in") - 1).cast("int"))
+        .drop("_sub", "_in", "_offset")
+    )
+
+
 def rank_by_value(
     df: DataFrame,
     group_col: str = "user_id",
@@ -117,14 +172,16 @@ def row_number_by_hash(
     out: str = "row_num",
     count_out: str | None = None,
     hash_bits: int = 32,
+    sub_range_bits: int = 10,
 ) -> DataFrame:
     """``row_number() over (partition by group order by hash, tie)``, skew-safe.
 
     ``hash_col`` must be a uniformly distributed non-negative integer below
     2**hash_bits.  Rows are numbered inside (group, sub-range) windows and
-    offset by the counts of the earlier sub-ranges of the same group.
+    offset by the counts of the earlier sub-ranges of the same group; a group
+    has 2**``sub_range_bits`` of them.
     """
-    shift = hash_bits - SUB_RANGE_BITS
+    shift = hash_bits - sub_range_bits
     sub = F.shiftright(F.col(hash_col), shift).alias("_sub")
     keyed = df.withColumn("_sub", sub)
     hist = keyed.groupBy(group_col, "_sub").agg(F.count("*").alias("_cnt"))

@@ -53,18 +53,6 @@ def sample_users(
     return df.where(bucket < cut)
 
 
-def random_sample_users(
-    df: DataFrame, fraction: float, seed: int = 2020, user_col: str = "user_id"
-) -> DataFrame:
-    """``DataFrame.sample`` on distinct users + semi join, as Spark users write it.
-
-    Layout dependent: the chosen users change with the partitioning.  Prefer
-    ``sample_users`` for reproducible experiments.
-    """
-    users = df.select(user_col).distinct().sample(False, fraction, seed=seed)
-    return df.join(users, user_col, "left_semi")
-
-
 def part_column(spec: SplitSpec = DEFAULT_SPLIT):
     """'train' | 'val' | 'test' from the user's bucket."""
     ub = hash_bucket(spec.seed, spec.user_col) % spec.user_buckets

@@ -28,6 +28,7 @@ def evaluate_topk(
 ) -> DataFrame:
     """Per configuration: rmse, n_rows, map, n_map_users, coverage, n_users.
 
+    * a (user, item) pair predicted several times counts once;
     * rmse over the top-k rows (``method='rank'`` keeps ties, as the original);
     * map: list positions by (rank, item); truth = held-out pairs (optionally
       only ``rating >= relevant_min``); users present in both, as the
@@ -37,10 +38,16 @@ def evaluate_topk(
     """
     cfg = list(config_cols)
     grp = cfg + ["user_id"]
+    # a pair that is predicted twice counts once, with its best score
+    best = F.max(F.struct(F.col(prediction_col), F.col(label_col)))
+    predictions = (
+        predictions.groupBy(*grp, "book_id")
+        .agg(best.alias("_best"))
+        .select(*grp, "book_id", "_best.*")
+    )
     top = R.top_k(predictions, k, prediction_col, method=method, out="_rank",
                   group_col=grp)
-    w = Window.partitionBy(*grp).orderBy("_rank", "book_id")
-    top = top.withColumn("_pos", F.row_number().over(w))
+    top = R.positions(top, grp, "_rank", "book_id", out="_pos")
     err = F.col(prediction_col).cast("double") - F.col(label_col).cast("double")
 
     truth_rows = heldout if relevant_min is None else heldout.where(
@@ -89,16 +96,18 @@ def evaluate_all_items(
     heldout: DataFrame,
     k: int = 500,
     relevant_min: float | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """The all-items protocol: top-k over the whole catalogue vs held-out truth.
 
     Unlike the held-out-candidates protocol (whose MAP equals coverage), every
     catalogue item competes, so this measures ranking quality.  One row:
-    map, map_at_k, precision_at_k, recall_at_k, ndcg_at_k, n_users.
+    map, map_at_k, precision_at_k, recall_at_k, ndcg_at_k, n_users.  Pairs in
+    ``seen`` (usually the training pairs) are not recommended again.
     """
     from quire.operators import metrics as M
     from quire.operators import models as MD
 
-    recs = MD.recommend_top_k(model, heldout, k)
+    recs = MD.recommend_top_k(model, heldout, k, seen=seen)
     truth = heldout if relevant_min is None else heldout.where(F.col("rating") >= relevant_min)
     return M.ranking_metrics(recs, truth.select("user_id", "book_id"), k=k, pos_col="pos")

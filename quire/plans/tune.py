@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from quire.operators import blend as B
 from quire.operators import models as MD
 from quire.plans.evaluate import evaluate_topk
+from quire.session import scratch_path
 from quire.sources.schemas import RESULTS, RESULTS_CSV
 
 Scorer = Callable[[MD.ALSParams], DataFrame]
@@ -40,17 +41,49 @@ def grid_search(
     sample: str,
     k: int = 500,
     prediction_col: str = "prediction",
+    sink: str | None = None,
 ) -> DataFrame:
-    """Evaluate every configuration; returns the results table (RESULTS schema)."""
-    rows = []
+    """Evaluate every configuration; returns the results table (RESULTS schema).
+
+    Each configuration's row is appended to ``sink`` (a Parquet table in the
+    shared folder) as soon as it is known, so a failure late in a long grid
+    loses nothing that was evaluated before.
+    """
+    sink = sink or scratch_path(spark, f"grid-{variant}")
     for p in configs:
-        pred = scorer(p)
-        m = evaluate_topk(pred, heldout, k=k, prediction_col=prediction_col).first()
-        rows.append(
-            (variant, sample, p.max_iter, p.rank, float(p.reg),
-             _f(m["rmse"]), _f(m["map"]))
-        )
-    return spark.createDataFrame(rows, RESULTS)
+        m = evaluate_topk(scorer(p), heldout, k=k, prediction_col=prediction_col).first()
+        row = (variant, sample, p.max_iter, p.rank, float(p.reg), *_metrics(m))
+        append_results(spark.createDataFrame([row], RESULTS), sink)
+    return spark.read.schema(RESULTS).parquet(sink)
+
+
+def _metrics(m) -> tuple:
+    return (_f(m["rmse"]), _f(m["map"]), _f(m["coverage"]), m["n_rows"], m["n_users"])
+
+
+def winner(results: DataFrame, base: MD.ALSParams = MD.ALSParams()) -> MD.ALSParams:
+    """The configuration of least RMSE of one variant and sample."""
+    b = best_config(results).first()
+    return MD.with_params(base, max_iter=b["rmse_max_iter"], rank=b["rmse_rank"], reg=b["rmse_reg"])
+
+
+def tune_and_test(
+    spark: SparkSession,
+    configs: list[MD.ALSParams],
+    val: tuple[Scorer, DataFrame],
+    test: tuple[Scorer, DataFrame],
+    variant: str,
+    sample: str,
+    k: int = 500,
+) -> DataFrame:
+    """Grid on the validation pairs, winner, evaluation of the winner on the test pairs.
+
+    ``val`` and ``test`` are (scorer, held-out pairs).
+    """
+    p = winner(grid_search(spark, configs, val[0], val[1], variant, sample, k))
+    m = evaluate_topk(test[0](p), test[1], k=k)
+    config = [F.lit(p.max_iter).alias("max_iter"), F.lit(p.rank).alias("rank"), F.lit(float(p.reg)).alias("reg")]
+    return m.select(F.lit(variant).alias("variant"), F.lit(sample).alias("sample"), *config, *m.columns)
 
 
 def _f(x):
@@ -115,7 +148,9 @@ def lr_grid(
 ) -> DataFrame:
     """Elastic-net grid: RMSE over all clamped predictions, MAP over top-k
     ranked review pairs vs the user's reviewed held-out pairs."""
-    rows = []
+    # a new schema: StructType.add would mutate the shared RESULTS in place
+    schema = T.StructType(RESULTS.fields + [T.StructField("net", T.DoubleType())])
+    sink = scratch_path(spark, "grid-lr")
     for reg, net in product(regs, nets):
         model = MD.fit_lr(train_feats, reg, net, max_iter=max_iter)
         pred = cached(MD.review_predictions(model, val_feats))  # read by two actions
@@ -123,12 +158,16 @@ def lr_grid(
         err = F.col("prediction") - F.col("rating")
         rmse_all = pred.agg(F.sqrt(F.avg(err * err))).first()[0]
         pred.unpersist()
-        rows.append(
-            ("lr", sample, max_iter, 0, float(reg), _f(rmse_all), _f(m["map"]), float(net))
-        )
-    # a new schema: StructType.add would mutate the shared RESULTS in place
-    schema = T.StructType(RESULTS.fields + [T.StructField("net", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+        metrics = (_f(rmse_all), *_metrics(m)[1:])
+        row = ("lr", sample, max_iter, 0, float(reg), *metrics, float(net))
+        append_results(spark.createDataFrame([row], schema), sink)
+    return spark.read.schema(schema).parquet(sink)
+
+
+def lr_winner(results: DataFrame) -> tuple[float, float]:
+    """(reg, net) of least RMSE: the regression that scores the reviews."""
+    b = best_config(results, config=("reg", "net")).first()
+    return b["rmse_reg"], b["rmse_net"]
 
 
 # -- winners and reports --------------------------------------------------------
@@ -144,10 +183,12 @@ def best_config(
 
     ``min(struct(metric, *config))`` picks the first configuration in grid
     order among equal metrics, the same as a strict ``<`` / ``>`` scan over an
-    ascending grid (``max_by`` alone is undefined on ties).
+    ascending grid (``max_by`` alone is undefined on ties).  A configuration
+    whose metric is null or NaN never wins.
     """
-    by_rmse = F.min(F.struct("rmse", *config))
-    by_map = F.min(F.struct((-F.col("map")).alias("neg_map"), *config))
+    defined = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    by_rmse = F.min(F.when(defined("rmse"), F.struct("rmse", *config)))
+    by_map = F.min(F.when(defined("map"), F.struct((-F.col("map")).alias("neg_map"), *config)))
     agg = results.groupBy(*keys).agg(by_rmse.alias("r"), by_map.alias("m"))
     return agg.select(
         *keys,

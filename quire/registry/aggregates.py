@@ -9,6 +9,7 @@ from quire.operators import ranking as R
 from quire.registry.common import interactions, parts, r6, scored, sql_with
 
 RATINGS = [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+DESCRIBED = ("user_id", "book_id", "is_read", "rating", "is_reviewed")
 
 
 def row_count(spark, sf_dir):
@@ -36,15 +37,23 @@ def user_item_list(spark, sf_dir):
 
 
 def ordered_list(spark, sf_dir):
-    """Per-user truth list ordered by rating rank, first 10 positions."""
-    _, val, _ = parts(spark, sf_dir)
-    top = R.top_k(val, 10, "rating", method="row_number", out="pos")
-    lists = R.ordered_list(top, pos_col="pos", out="books")
-    return lists.select("user_id", _joined("books"), F.size("books").alias("n_books"))
+    """Every user's whole truth list by rating rank, in long form with its size.
+
+    A user's list is not collected into a row: it has no bound.
+    """
+    _, val, test = parts(spark, sf_dir)
+    held = val.unionByName(test).select("user_id", "book_id", "rating")
+    ranked = R.rank_by_value(held, out="true_row")
+    sizes = held.groupBy("user_id").agg(F.count("*").cast("int").alias("n_books"))
+    return (
+        R.positions(ranked, "user_id", "true_row", out="pos")
+        .join(sizes, "user_id")
+        .select("user_id", "pos", "book_id", "n_books")
+    )
 
 
 def describe(spark, sf_dir):
-    out = P.describe(interactions(spark, sf_dir), ["rating", "is_read"])
+    out = P.describe(interactions(spark, sf_dir), DESCRIBED)
     return out.select(*[r6(c) if not c.endswith("_count") else F.col(c) for c in out.columns])
 
 
@@ -71,7 +80,7 @@ _DESC = ", ".join(
     f"count({c}) as {c}_count, round(avg({c}), 6) as {c}_mean, "
     f"round(stddev_samp({c}), 6) as {c}_stddev, round(cast(min({c}) as double), 6) as {c}_min, "
     f"round(cast(max({c}) as double), 6) as {c}_max"
-    for c in ("rating", "is_read")
+    for c in DESCRIBED
 )
 
 ORACLE = {
@@ -92,13 +101,12 @@ ORACLE = {
         "val_scored",
     ),
     "ordered_list": sql_with(
-        """select user_id, string_agg(cast(book_id as varchar), ',' order by pos) as books,
-                  cast(count(*) as int) as n_books
-           from (select *, row_number() over (partition by user_id
-                                              order by rating desc, book_id) as pos
-                 from val) x
-           where pos <= 10 group by user_id""",
+        """select user_id,
+                  cast(row_number() over (partition by user_id order by rating desc, book_id) as int) as pos,
+                  book_id, cast(count(*) over (partition by user_id) as int) as n_books
+           from (select * from val union all select * from test) h""",
         "val",
+        "test",
     ),
     "describe": sql_with(f"select {_DESC} from interactions", "interactions"),
     "read_rating_crosstab": sql_with(
@@ -106,6 +114,9 @@ ORACLE = {
         + ", ".join(
             f"count(*) filter (where rating = {v}) as r{i}" for i, v in enumerate(RATINGS)
         )
+        + ", count(*) filter (where rating is not null and rating not in ("
+        + ", ".join(str(v) for v in RATINGS)
+        + ")) as r_other, count(*) filter (where rating is null) as r_null"
         + " from interactions group by is_read",
         "interactions",
     ),

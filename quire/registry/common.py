@@ -58,11 +58,10 @@ def _hb(key_sql: str) -> str:
 ICOLS = "user_id, book_id, is_read, rating, is_reviewed"
 
 CTES: dict[str, str] = {
-    "interactions": """
+    "interactions": f"""
         select user_id, book_id, is_read,
                cast(case when is_read = 0 then 0 else 1 + floor((q - 1) / 10) end as double) as rating,
-               cast(case when is_read = 1
-                          and (cast(user_id as bigint) * 31 + cast(book_id as bigint) * 17) % 20 = 0
+               cast(case when {_hb("concat('rev:', user_id, ':', book_id)")} % 20 = 0
                          then 1 else 0 end as int) as is_reviewed
         from (select cast(o_custkey as int) as user_id, cast(l_partkey as int) as book_id,
                      cast(max(case when l_returnflag <> 'N' then 1 else 0 end) as int) as is_read,
@@ -93,12 +92,12 @@ CTES: dict[str, str] = {
                                     + cast(book_id as bigint) * 104729) % 1000 as double) / 200
                                 as prediction
                       from test""",
-    "reviews": """
+    "reviews": f"""
         select i.user_id, i.book_id, cast(i.rating as float) as rating, d.text as review_text,
                concat(i.user_id, ':', i.book_id) as review_id
         from interactions i
         join documents d
-          on d.doc_id = (cast(i.user_id as bigint) * 13 + cast(i.book_id as bigint) * 7)
+          on d.doc_id = {_hb("concat('doc:', i.user_id, ':', i.book_id)")}
                         % (select count(*) from documents)
         where i.is_reviewed = 1""",
     "stop_words": "select unnest(["

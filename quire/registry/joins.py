@@ -9,7 +9,9 @@ from quire.operators import blend as B
 from quire.operators import ranking as R
 from quire.registry.common import parts, r6, scored, sql_with
 from quire.registry.scalar import SIDES, SIDES_READ, als_side, review_side, unread_side
+from quire.session import scratch_path
 from quire.sources import fixtures as FX
+from quire.sources import io, schemas
 
 
 def map_ids(raw_reviews, user_map, book_map):
@@ -25,16 +27,26 @@ def map_ids(raw_reviews, user_map, book_map):
 
 
 def id_mapping(spark, sf_dir):
-    return map_ids(
-        FX.raw_reviews(spark, sf_dir), FX.user_id_map(spark, sf_dir), FX.book_id_map(spark, sf_dir)
-    )
+    """The id maps are read from CSV files with a header, as they are delivered."""
+    path = scratch_path(spark, "id-maps")
+    maps = []
+    for name, df, schema in (
+        ("users", FX.user_id_map(spark, sf_dir), schemas.USER_ID_MAP),
+        ("books", FX.book_id_map(spark, sf_dir), schemas.BOOK_ID_MAP),
+    ):
+        io.write_csv(df, f"{path}/{name}")
+        maps.append(io.read_csv(spark, f"{path}/{name}", schema))
+    return map_ids(FX.raw_reviews(spark, sf_dir), *maps)
 
 
 def review_composite_join(spark, sf_dir):
-    train, _, _ = parts(spark, sf_dir)
     rev = FX.reviews(spark, sf_dir)
-    joined = typed_interactions(train).join(rev, ["user_id", "book_id", "rating"])
-    return joined.select("review_text", "rating", "user_id", "book_id")
+    out = None
+    for name, rows in zip(("train", "val", "test"), parts(spark, sf_dir), strict=True):
+        joined = typed_interactions(rows).join(rev, ["user_id", "book_id", "rating"])
+        one = joined.select(F.lit(name).alias("part"), "review_text", "rating", "user_id", "book_id")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def outer_two(spark, sf_dir):
@@ -81,11 +93,15 @@ QUERIES = {
 ORACLE = {
     "id_mapping": sql_with("select * from reviews", "reviews"),
     "review_composite_join": sql_with(
-        """select r.review_text, r.rating, t.user_id, t.book_id
-           from train t join reviews r
+        """select part, r.review_text, r.rating, t.user_id, t.book_id
+           from (select 'train' as part, * from train union all select 'val' as part, * from val
+                 union all select 'test' as part, * from test) t
+           join reviews r
              on t.user_id = r.user_id and t.book_id = r.book_id
             and cast(t.rating as float) = r.rating""",
         "train",
+        "val",
+        "test",
         "reviews",
     ),
     "outer_two": sql_with(

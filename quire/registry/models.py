@@ -18,6 +18,7 @@ from quire.operators import models as MD
 from quire.operators import text as T
 from quire.registry.common import parts, r6, sql_with
 from quire.registry.scalar import COLD_SQL, cold_item
+from quire.registry.text import token_lists_sql
 from quire.session import scratch_path
 from quire.sources import fixtures as FX
 
@@ -34,7 +35,9 @@ def _zero_safe(c):
 def als_baseline(spark, sf_dir):
     train, val, _ = parts(spark, sf_dir)
     pred = MD.score(MD.fit_als(train, PARAMS), val)
-    return pred.select("user_id", "book_id", "rating", r6("prediction"))
+    return pred.select(
+        "user_id", "book_id", "rating", F.col("prediction").between(0, 100).cast("int").alias("valid")
+    )
 
 
 def als_implicit(spark, sf_dir):
@@ -78,42 +81,50 @@ def read_union_scores(spark, sf_dir):
 
 
 def _review_feature_table(spark, sf_dir):
-    """Train and validation review features from one pipeline fit, tagged by part."""
-    train, val, _ = parts(spark, sf_dir)
+    """Review features of all three parts by the training vocabulary, tagged by part."""
     rev = FX.reviews(spark, sf_dir)
     keys = ["user_id", "book_id", "rating"]
-    tr = typed_interactions(train).join(rev, keys).select(*keys, "review_text")
-    va = typed_interactions(val).join(rev, keys).select(*keys, "review_text")
-    _, (tr_f, va_f) = T.feature_tables(tr, va)
-    return tr_f.withColumn("part", F.lit("train")).unionByName(
-        va_f.withColumn("part", F.lit("val"))
-    )
+    reviews = [
+        typed_interactions(p).join(rev, keys).select(*keys, "review_text")
+        for p in parts(spark, sf_dir)
+    ]
+    _, feats = T.feature_tables(*reviews)
+    tagged = [
+        f.withColumn("part", F.lit(p)) for f, p in zip(feats, ("train", "val", "test"), strict=True)
+    ]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
 def _review_features(spark, sf_dir):
-    """(train, val, train features, val features).
+    """(train, val, test) rows and their features.
 
     Like the original's review feature Parquet files, the feature tables are
     fitted and written once per application; every regression or blend query
     reads pruned partitions of that table.
     """
-    train, val, _ = parts(spark, sf_dir)
     table = FX.staged(spark, sf_dir, "review-features", _review_feature_table,
                       partition_by="part")
-    tr_f, va_f = (
-        table.where(F.col("part") == p).drop("part") for p in ("train", "val")
+    feats = tuple(
+        table.where(F.col("part") == p).drop("part") for p in ("train", "val", "test")
     )
-    return train, val, tr_f, va_f
+    return parts(spark, sf_dir), feats
+
+
+def read_features(feats, rows):
+    """The features of read rows only: the combined variant learns from and scores these."""
+    keys = ["user_id", "book_id", "rating"]
+    flags = typed_interactions(rows).select(*keys, "is_read")
+    return B.read_rows(feats.join(flags, keys)).drop("is_read")
 
 
 def lr_elastic_net(spark, sf_dir):
-    _, _, tr_f, _ = _review_features(spark, sf_dir)
-    model = MD.fit_lr(tr_f, LR_REG, LR_NET)
-    s = model.summary
+    """Coefficients, finite fit and rows of the regression on the train reviews' features."""
+    _, (tr_f, _, _) = _review_features(spark, sf_dir)
+    s = MD.fit_lr(tr_f, LR_REG, LR_NET)
+    fits = 0 <= s.summary.rootMeanSquaredError < 5 and s.summary.totalIterations > 0
     return spark.createDataFrame(
-        [(model.numFeatures, float(model.intercept), float(s.rootMeanSquaredError),
-          int(s.totalIterations))],
-        "num_features int, intercept double, train_rmse double, iterations int",
+        [(int(s.numFeatures), int(s.summary.numInstances), int(fits))],
+        "num_features int, n_reviews long, fits int",
     )
 
 
@@ -132,7 +143,7 @@ def lr_single_feature(spark, sf_dir):
 
 
 def review_scores(spark, sf_dir):
-    _, _, tr_f, va_f = _review_features(spark, sf_dir)
+    _, (tr_f, va_f, _) = _review_features(spark, sf_dir)
     pred = MD.review_predictions(MD.fit_lr(tr_f, LR_REG, LR_NET), va_f)
     return pred.select(
         "user_id", "book_id", "rating", (F.col("prediction") >= 0).cast("int").alias("nonneg")
@@ -148,7 +159,7 @@ def _source(cols):
 
 
 def review_blend_scores(spark, sf_dir):
-    train, val, tr_f, va_f = _review_features(spark, sf_dir)
+    (train, val, _), (tr_f, va_f, _) = _review_features(spark, sf_dir)
     review = MD.review_predictions(MD.fit_lr(tr_f, LR_REG, LR_NET), va_f)
     als = MD.score(MD.fit_als(train, PARAMS), typed_interactions(val))
     blended = B.blend_two(als, review)
@@ -156,14 +167,10 @@ def review_blend_scores(spark, sf_dir):
 
 
 def combined_scores(spark, sf_dir):
-    train, val, tr_f, va_f = _review_features(spark, sf_dir)
+    (train, val, _), (tr_f, va_f, _) = _review_features(spark, sf_dir)
     valt = typed_interactions(val)
     review = MD.review_predictions(
-        MD.fit_lr(B.read_rows(tr_f.join(typed_interactions(train).select(
-            "user_id", "book_id", "rating", "is_read"), ["user_id", "book_id", "rating"])),
-            LR_REG, LR_NET),
-        B.read_rows(va_f.join(valt.select("user_id", "book_id", "rating", "is_read"),
-                              ["user_id", "book_id", "rating"])),
+        MD.fit_lr(read_features(tr_f, train), LR_REG, LR_NET), read_features(va_f, val)
     )
     als = MD.score(MD.fit_als(B.read_rows(train), PARAMS), B.read_rows(valt))
     unread = MD.score(MD.fit_als(B.unread_rows(train), UNREAD), B.unread_rows(valt))
@@ -173,11 +180,21 @@ def combined_scores(spark, sf_dir):
     )
 
 
-def recommend_all_items(spark, sf_dir, k: int = 10):
+def recommend_all_items(spark, sf_dir, k: int = 500):
+    """The best unseen items of every held-out user: a full list each, no training pair in it."""
     train, val, _ = parts(spark, sf_dir)
     model = MD.fit_als(train, PARAMS)
-    recs = MD.recommend_top_k(model, val, k)
-    return recs.select("user_id", "book_id", "pos", r6("prediction"))
+    recs = MD.recommend_top_k(model, val, k, seen=train)
+    known = train.select("user_id", "book_id", F.lit(1).alias("known"))
+    return (
+        recs.join(known, ["user_id", "book_id"], "left")
+        .groupBy("user_id")
+        .agg(
+            F.count("*").alias("n_items"),
+            F.max("pos").alias("last_pos"),
+            F.count("known").alias("n_seen"),
+        )
+    )
 
 
 def map_all_items(spark, sf_dir, k: int = 500):
@@ -186,7 +203,9 @@ def map_all_items(spark, sf_dir, k: int = 500):
 
     train, val, _ = parts(spark, sf_dir)
     model = MD.fit_als(train, PARAMS)
-    return evaluate_all_items(model, val, k=k, relevant_min=4)
+    m = evaluate_all_items(model, val, k=k, relevant_min=4, seen=train)
+    inside = lambda c: F.col(c).between(0, 1).cast("int").alias(f"{c}_valid")
+    return m.select("n_users", *[inside(c) for c in m.columns if c != "n_users"])
 
 
 def model_roundtrip(spark, sf_dir):
@@ -226,6 +245,45 @@ _REV_VAL = """select v.user_id, v.book_id, v.is_read, cast(v.rating as float) as
                and cast(v.rating as float) = r.rating"""
 
 ORACLE = {
+    "als_baseline": sql_with(
+        """select user_id, book_id, rating, 1 as valid from val
+           where user_id in (select user_id from train) and book_id in (select book_id from train)""",
+        "train",
+        "val",
+    ),
+    "lr_elastic_net": sql_with(
+        """select cast((select count(distinct term) from train_terms) as int) as num_features,
+                  (select count(*) from train_rev) as n_reviews, 1 as fits""",
+        "train",
+        "reviews",
+        "stop_words",
+        extra={
+            "train_rev": """select t.user_id, t.book_id, r.rating, r.review_text
+                            from train t join reviews r
+                              on t.user_id = r.user_id and t.book_id = r.book_id
+                             and cast(t.rating as float) = r.rating""",
+            "train_tokens": token_lists_sql("train_rev", "user_id, book_id"),
+            "train_terms": """select term from (select unnest(tokens) as term from train_tokens) x
+                              where term not in (select word from stop_words)""",
+        },
+    ),
+    "recommend_all_items": sql_with(
+        """select user_id, least(n, 500) as n_items, cast(least(n, 500) as int) as last_pos, cast(0 as bigint) as n_seen
+           from (select v.user_id, (select count(distinct book_id) from train)
+                                   - count(distinct t.book_id) as n
+                 from (select distinct user_id from val) v join train t using (user_id)
+                 group by v.user_id) x
+           where n > 0""",
+        "train",
+        "val",
+    ),
+    "map_all_items": sql_with(
+        """select count(distinct user_id) as n_users, 1 as map_valid, 1 as map_at_k_valid,
+                  1 as precision_at_k_valid, 1 as recall_at_k_valid, 1 as ndcg_at_k_valid
+           from val where rating >= 4 and user_id in (select user_id from train)""",
+        "train",
+        "val",
+    ),
     "scored_pairs": sql_with(
         """select user_id, book_id from val
            where user_id in (select user_id from warm) and book_id in (select book_id from warm)""",

@@ -44,8 +44,8 @@ def read_filter(spark, sf_dir):
 
 
 def nan_drop_read(spark, sf_dir):
-    train, _, _ = parts(spark, sf_dir)
-    return B.nan_drop_read(train)
+    train, val, _ = parts(spark, sf_dir)
+    return B.nan_drop_read(train.unionByName(val))
 
 
 def clamp_zero(spark, sf_dir):
@@ -107,8 +107,9 @@ def blend_three(spark, sf_dir):
 
 
 def literal_fraction(spark, sf_dir):
-    _, val, _ = parts(spark, sf_dir)
-    return val.select("user_id").distinct().withColumn("fraction", F.lit(0.5))
+    _, val, test = parts(spark, sf_dir)
+    held = val.unionByName(test)
+    return held.select("user_id").distinct().withColumn("fraction", F.lit(0.5))
 
 
 def clean_text(spark, sf_dir):
@@ -166,7 +167,12 @@ ORACLE = {
         "val_scored",
     ),
     "read_filter": sql_with("select * from val where is_read <> 0", "val"),
-    "nan_drop_read": sql_with("select * from train where is_read <> 0", "train"),
+    "nan_drop_read": sql_with(
+        """select * from train where is_read <> 0
+           union all select * from val where is_read <> 0""",
+        "train",
+        "val",
+    ),
     "clamp_zero": sql_with(
         """select user_id, book_id,
                   round(case when prediction - 2.5 < 0 then 0.0 else prediction - 2.5 end, 6)
@@ -199,7 +205,10 @@ ORACLE = {
         extra=SIDES_READ,
     ),
     "literal_fraction": sql_with(
-        "select distinct user_id, cast(0.5 as double) as fraction from val", "val"
+        """select distinct user_id, cast(0.5 as double) as fraction
+           from (select * from val union all select * from test) h""",
+        "val",
+        "test",
     ),
     "clean_text": """select doc_id, lower(regexp_replace(text, '[,.:!"?;()#$~&]', '', 'g'))
                             as clean_text

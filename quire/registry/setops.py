@@ -27,15 +27,15 @@ def union_predictions(spark, sf_dir):
 
 
 def held_out_except(spark, sf_dir):
-    rows = S.with_split_columns(interactions(spark, sf_dir)).where(F.col("part") == "val")
+    rows = S.with_split_columns(interactions(spark, sf_dir)).where(F.col("part") != "train")
     cols = ICOLS.split(", ")
     observed = rows.where(F.col("half") == 0).select(*cols)
     return S.held_out_except(rows.select(*cols), observed)
 
 
 def unread_except(spark, sf_dir):
-    train, _, _ = parts(spark, sf_dir)
-    return B.unread_except(train)
+    train, val, test = parts(spark, sf_dir)
+    return B.unread_except(train.unionByName(val).unionByName(test))
 
 
 QUERIES = {
@@ -56,12 +56,17 @@ ORACLE = {
         "val_scored",
     ),
     "held_out_except": sql_with(
-        f"""select {ICOLS} from split_rows where part = 'val'
+        f"""select {ICOLS} from split_rows where part <> 'train'
             except
-            select {ICOLS} from split_rows where part = 'val' and half = 0""",
+            select {ICOLS} from split_rows where part <> 'train' and half = 0""",
         "split_rows",
     ),
     "unread_except": sql_with(
-        "select * from train except select * from train where is_read <> 0", "train"
+        """select * from (select * from train union all select * from val union all select * from test) r
+           except select * from (select * from train union all select * from val
+                                 union all select * from test) r where is_read <> 0""",
+        "train",
+        "val",
+        "test",
     ),
 }

@@ -35,7 +35,7 @@ def half_rows(spark, sf_dir):
 
 
 def half_exact(spark, sf_dir):
-    rows = S.with_split_columns(interactions(spark, sf_dir)).where(F.col("part") == "val")
+    rows = S.with_split_columns(interactions(spark, sf_dir)).where(F.col("part") != "train")
     return S.exact_half(rows.drop("part", "half"))
 
 
@@ -44,9 +44,10 @@ def split_recipe(spark, sf_dir):
 
 
 def truth_lists(spark, sf_dir):
-    """Held-out truth in long form: relevant (rating >= 4) held-out rows ranked by rating."""
-    _, val, _ = parts(spark, sf_dir)
-    rel = val.where(F.col("rating") >= 4).select("user_id", "book_id", "rating")
+    """Held-out truth of validation and test in long form: every row ranked by rating."""
+    _, val, test = parts(spark, sf_dir)
+    held = val.withColumn("part", F.lit("val")).unionByName(test.withColumn("part", F.lit("test")))
+    rel = held.select("part", "user_id", "book_id", "rating")  # a user is in one part only
     return R.rank_by_value(rel, "user_id", "rating", out="true_row")
 
 
@@ -65,8 +66,8 @@ def seen_items_only(spark, sf_dir):
 
 def history_semi(spark, sf_dir):
     rows = S.with_split_columns(interactions(spark, sf_dir))
-    held = rows.where((F.col("part") == "val") & (F.col("half") == 1))
-    observed = rows.where((F.col("part") == "val") & (F.col("half") == 0))
+    held = rows.where((F.col("part") != "train") & (F.col("half") == 1))
+    observed = rows.where((F.col("part") != "train") & (F.col("half") == 0))
     return S.with_history(held, observed).drop("part", "half")
 
 
@@ -129,7 +130,7 @@ ORACLE = {
                          row_number() over (partition by user_id order by h, book_id) as rn,
                          count(*) over (partition by user_id) as n
                   from (select *, {_hb("concat('2020:', user_id, ':', book_id)")} as h
-                        from split_rows where part = 'val') a) b""",
+                        from split_rows where part <> 'train') a) b""",
         "split_rows",
     ),
     "split_recipe": sql_with(
@@ -141,10 +142,11 @@ ORACLE = {
         "test",
     ),
     "truth_lists": sql_with(
-        """select user_id, book_id, rating,
+        """select part, user_id, book_id, rating,
                   cast(rank() over (partition by user_id order by rating desc) as int) as true_row
-           from val where rating >= 4""",
+           from (select 'val' as part, * from val union all select 'test' as part, * from test) h""",
         "val",
+        "test",
     ),
     "split_report": sql_with(
         """select part, half, count(*) as n_rows, count(distinct user_id) as n_users
@@ -162,8 +164,8 @@ ORACLE = {
     ),
     "history_semi": sql_with(
         f"""select {ICOLS} from split_rows
-            where part = 'val' and half = 1
-              and user_id in (select user_id from split_rows where part = 'val' and half = 0)""",
+            where part <> 'train' and half = 1
+              and user_id in (select user_id from split_rows where part <> 'train' and half = 0)""",
         "split_rows",
     ),
     "history_overlap": sql_with(

@@ -35,7 +35,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -82,17 +82,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it yields too few input splits.
+#: partitions to spread a scan over that feeds per-row work; unset: the scan's own splits
+SCAN_PARTITIONS = "spark.quire.scan.partitions"
 
-    Large inputs already arrive as thousands of splits and are returned
-    untouched (no shuffle).  A source with fewer splits than the cluster's
-    parallelism (e.g. one unsplittable row group) is round-robin repartitioned
-    so CPU-heavy per-row work (hashing, tokenising) is not serialised in one task.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt round-robin over ``partitions``; as it is without a number.
+
+    For sources with fewer splits than the cluster has cores (one unsplittable
+    row group).  The number is the argument or the session's
+    ``spark.quire.scan.partitions``; nothing is inferred from the input.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
-        return df
-    return df if current >= target else df.repartition(target)
+    partitions = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(partitions) if partitions else df

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import ensure_parallelism, scratch_path
+from quire.functions.columns import hash_bucket
+from quire.session import scratch_path, spread
 
 # (application id, sf_dir, table) -> staged Parquet path in the shared folder
 _STAGED: dict[tuple[str, str, str], str] = {}
@@ -28,7 +29,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_wide(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
     """Pruned scan of a fact table feeding CPU-heavy work, spread over the cluster."""
-    return ensure_parallelism(load(spark, sf_dir, name).select(*columns))
+    return spread(load(spark, sf_dir, name).select(*columns))
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, build,
@@ -87,15 +88,7 @@ def derive_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("double")
     )
     reviewed = (
-        F.when(
-            (F.col("is_read") == 1)
-            & (
-                (F.col("user_id").cast("bigint") * 31 + F.col("book_id").cast("bigint") * 17)
-                % 20
-                == 0
-            ),
-            1,
-        )
+        F.when(hash_bucket("rev", "user_id", "book_id") % 20 == 0, 1)
         .otherwise(0)
         .cast("int")
     )
@@ -138,15 +131,12 @@ def derive_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     inter = interactions(spark, sf_dir)
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = docs.select(F.count("*")).scalar()
-    docs = ensure_parallelism(docs)
+    docs = spread(docs)
     reviewed = inter.where(F.col("is_reviewed") == 1).select(
         "user_id",
         "book_id",
         "rating",
-        (
-            (F.col("user_id").cast("bigint") * 13 + F.col("book_id").cast("bigint") * 7)
-            % n_docs
-        ).alias("doc_id"),
+        (hash_bucket("doc", "user_id", "book_id") % n_docs).alias("doc_id"),
     )
     return reviewed.join(docs, "doc_id").select(
         "user_id",

@@ -16,7 +16,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from quire.session import build_session
 
-    s = build_session(master="local[8]", shuffle_partitions=8)
+    s = build_session(
+        master="local[8]", shuffle_partitions=8, extra={"spark.quire.scan.partitions": "8"}
+    )
     yield s
     s.stop()
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
+from quire.registry import all_oracles, all_queries
 from quire.checks import compare, schema_problems
 from tests.conftest import SF_SMALL
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
+ORACLES = all_oracles()
+QUERIES = all_queries()
 
 
 def test_every_oracle_has_a_query():

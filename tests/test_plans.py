@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as E
+from quire.registry import all_queries
 from quire.operators import ranking as R
 from quire.registry.common import parts, scored
 from tests.conftest import SF_SMALL
@@ -15,7 +15,7 @@ FITTING = {
     "lr_elastic_net", "lr_single_feature", "review_scores", "review_blend_scores",
     "combined_scores", "recommend_all_items", "map_all_items", "model_roundtrip", "grid_als",
     "grid_als_read", "grid_lr", "grid_review_blend", "grid_combined", "final_eval",
-    "feature_tables",
+    "feature_tables", "final_eval_read", "final_eval_review", "final_eval_combined",
 }
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -25,9 +25,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - FITTING))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - FITTING))
 def test_no_cross_products_or_python_udfs(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = all_queries()[name](spark, SF_SMALL)
     plan = _plan(df)
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
@@ -68,7 +68,7 @@ def test_top_k_bounded_on_staged_split(spark):
 
 
 def test_parquet_scan_prunes_and_pushes(spark):
-    df = E.queries()["parquet_scan"](spark, SF_SMALL)
+    df = all_queries()["parquet_scan"](spark, SF_SMALL)
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,N))]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string>" in plan
