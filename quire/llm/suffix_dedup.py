@@ -53,7 +53,7 @@ class RepeatParams:
     length: int = 50
     gram: int = 20
     #: text bytes of a bucket: what one task holds
-    bucket_bytes: int = 24 << 20
+    bucket_bytes: int = 16 << 20
     #: anchors with more spans than this are resolved by a shuffle of windows
     spans_in_task: int = 200_000
     #: windows of one span at most (periodic text has long runs of one anchor)
@@ -165,10 +165,38 @@ def _in_sorted(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     return sorted_[k] == values
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a batch by bucket, each bucket's as one compressed block."""
+    how = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        bucket = batch.column(0).to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        names = batch.schema.names[1:]
+        docs = pa.RecordBatch.from_arrays([batch.column(i + 1) for i in range(len(names))], names=names)
+        at = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) > 0))) if len(order) else order
+        out = []
+        for i, j in zip(at, np.append(at[1:], len(order)), strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, docs.schema, options=how) as writer:
+                writer.write_batch(docs.take(pa.array(order[i:j])))
+            out.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[order][at], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "block"]
+        )
+
+
+def _unpack(table: pa.Table) -> tuple[int, pa.Table]:
+    """(bucket, its documents)."""
+    blocks = table.column("block")
+    docs = [pa.ipc.open_stream(pa.py_buffer(b.as_buffer())).read_all() for b in blocks]
+    return table.column("bucket")[0].as_py(), pa.concat_tables(docs)
+
+
 def _report_anchors(p: RepeatParams):
-    def run(table: pa.Table) -> pa.Table:
+    def run(packed: pa.Table) -> pa.Table:
+        number, table = _unpack(packed)
         grams = np.unique(_bucket_anchors(table, p).gram)
-        bucket = pa.array(np.full(len(grams), table.column("bucket")[0].as_py(), np.int32))
+        bucket = pa.array(np.full(len(grams), number, np.int32))
         return pa.table({"gram": pa.array(grams.view(np.int64)), "bucket": bucket})
 
     return run
@@ -177,7 +205,8 @@ def _report_anchors(p: RepeatParams):
 def _report_spans(p: RepeatParams):
     """Distinct spans, in this bucket, of anchors that other documents have."""
 
-    def run(table: pa.Table, shared: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, shared: pa.Table) -> pa.Table:
+        number, table = _unpack(packed)
         a, ids = _bucket_anchors(table, p), _ids(table)
         doc = ids[a.row]
         order = np.lexsort((doc, a.gram))
@@ -188,14 +217,12 @@ def _report_spans(p: RepeatParams):
         a = _Anchors(*(x[use] for x in (a.row, a.at, a.n, a.gram, a.span)))
         doc = doc[use]
         one = _first_of(a.gram, a.span, doc)
-        bucket = table.column("bucket")[0].as_py() if len(table) else 0
         return pa.table(
             {
                 "gram": pa.array(a.gram[one].view(np.int64)),
                 "span": pa.array(a.span[one].view(np.int64)),
-                "bucket": pa.array(np.full(len(one), bucket, np.int32)),
+                "bucket": pa.array(np.full(len(one), number, np.int32)),
                 "doc": pa.array(doc[one]),
-                "n": pa.array(a.n[one]),
             }
         )
 
@@ -205,7 +232,8 @@ def _report_spans(p: RepeatParams):
 def _report_bytes(p: RepeatParams):
     """Bytes of the wanted spans: those of this bucket's documents that hold them first."""
 
-    def run(table: pa.Table, wanted: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, wanted: pa.Table) -> pa.Table:
+        _, table = _unpack(packed)
         docs = np.unique(wanted.column("doc").to_numpy()) if len(wanted) else np.zeros(0, np.int64)
         table = table.take(pa.array(np.flatnonzero(_in_sorted(_ids(table), docs)))).combine_chunks()
         a = _bucket_anchors(table, p) if len(table) else None
@@ -317,8 +345,8 @@ def _resolve(p: RepeatParams):
 def _cut(p: RepeatParams, rest: bool):
     """Removes the windows that an earlier document has."""
 
-    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+    def run(packed: pa.Table, replies: pa.Table) -> pa.Table:
+        table = _unpack(packed)[1].combine_chunks()
         a, ids = _bucket_anchors(table, p), _ids(table)
         doc = ids[a.row]
         # spans that an earlier document of this bucket has go whole
@@ -405,14 +433,15 @@ def remove_repeats(docs: DataFrame, p: RepeatParams = PARAMS, carry: list[str] |
         columns.append(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest"))
     deal = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
     dealt = docs.select(F.pmod(F.xxhash64(deal), F.lit(buckets)).cast("int").alias("bucket"), *columns)
-    by_bucket = dealt.groupBy("bucket")
+    # the only shuffle of texts: all four uses below read it
+    by_bucket = dealt.mapInArrow(tk.frugal(_pack), "bucket int not null, block binary not null").groupBy("bucket")
 
-    anchors = by_bucket.applyInArrow(_report_anchors(p), "gram long not null, bucket int not null")
+    anchors = by_bucket.applyInArrow(tk.frugal_group(_report_anchors(p)), "gram long not null, bucket int not null")
     shared = (
         anchors.withColumn("k", F.count("*").over(W.partitionBy("gram"))).filter("k > 1").select("bucket", "gram")
     )
     spans = by_bucket.cogroup(shared.groupBy("bucket")).applyInArrow(
-        _report_spans(p), "gram long not null, span long not null, bucket int not null, doc long not null, n int not null"
+        tk.frugal_groups(_report_spans(p)), "gram long not null, span long not null, bucket int not null, doc long not null"
     )
     # both uses of ``seen`` read the same columns and none is nullable, so no filter or pruning
     # tells their plans apart and Spark runs and shuffles the spans once
@@ -422,16 +451,18 @@ def remove_repeats(docs: DataFrame, p: RepeatParams = PARAMS, carry: list[str] |
         F.min("span").over(W.partitionBy("gram")).alias("lo"),
         F.max("span").over(W.partitionBy("gram")).alias("hi"),
     )
-    whole = seen.filter("first < doc").select("bucket", "span", F.lit(0).alias("at"), "n", "first")
-    several = seen.filter("lo <> hi and first = doc and n > 0")
+    whole = seen.filter("first < doc").select(
+        "bucket", "span", F.lit(0).alias("at"), F.lit(p.run).alias("n"), "first"
+    )
+    several = seen.filter("lo <> hi and first = doc")
     wanted = several.select("bucket", "span", "doc")
     raw = by_bucket.cogroup(wanted.groupBy("bucket")).applyInArrow(
-        _report_bytes(p), "gram long not null, span long not null, doc long not null, bytes binary not null"
+        tk.frugal_groups(_report_bytes(p)), "gram long not null, span long not null, doc long not null, bytes binary not null"
     )
     counted = raw.repartition("gram").withColumn("k", F.count("*").over(W.partitionBy("gram")))
     few = counted.filter(F.col("k") <= p.spans_in_task).select("gram", "span", "doc", "bytes")
     resolved = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(
-        _resolve(p), "gram long, span long, at int, n int, first long"
+        tk.frugal(_resolve(p)), "gram long, span long, at int, n int, first long"
     )
     many = counted.filter(F.col("k") > p.spans_in_task).select(
         "gram", "span", "doc", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - p.length)).alias("at")
@@ -447,7 +478,9 @@ def remove_repeats(docs: DataFrame, p: RepeatParams = PARAMS, carry: list[str] |
     if carry is not None:
         rest = dealt.schema["rest"].dataType.simpleString()
         schema += f", text string, rest {rest}"
-    return by_bucket.cogroup(replies.groupBy("bucket")).applyInArrow(_cut(p, carry is not None), schema)
+    return by_bucket.cogroup(replies.groupBy("bucket")).applyInArrow(
+        tk.frugal_groups(_cut(p, carry is not None)), schema
+    )
 
 
 def drop_repeats(docs: DataFrame, p: RepeatParams = PARAMS) -> DataFrame:

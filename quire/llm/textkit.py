@@ -6,7 +6,8 @@ task's working memory follows the chunk size (or its longest single document).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +28,51 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def give_back() -> None:
+    """Returns freed memory to the system; a reused worker would hold it while it idles."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def frugal(run: Callable) -> Callable:
+    """A task function over batches that gives memory back when its partition ends."""
+
+    def batches_then_give_back(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return batches_then_give_back
+
+
+def frugal_group(run: Callable) -> Callable:
+    """The same for a function over a group's table."""
+
+    def group(table):
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return group
+
+
+def frugal_groups(run: Callable) -> Callable:
+    """The same for a function over two tables of a group."""
+
+    def groups(left, right):
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return groups
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of the public splitmix64 generator: spreads every input bit."""
     x = x ^ (x >> U64(30))
