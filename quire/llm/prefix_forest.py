@@ -237,7 +237,7 @@ def search(vectors: DataFrame, every: int, p: ForestParams = PARAMS) -> DataFram
         "forest-queries",
     )
     first = max(0, int(np.ceil(np.log2(max(1.0, n / p.block)))))
-    block = F.expr(f"shiftright(string, {p.bits - first})") if first else F.lit(0).cast("long")
+    block = F.expr(f"shiftright(string, {p.bits - first})")
     index = _strings(entries, longest, p, False).withColumn("block", block)
     asked = entries.join(queries.select("rep").distinct(), "rep", "left_semi")
     asks = _strings(asked, longest, p, True).withColumn("block", block)
