@@ -147,7 +147,7 @@ def _write_batches(p: WarcParams):
 
 
 def _record_id(page: str, key: str, copy: Column) -> Column:
-    return F.concat_ws(":", F.lit("urn:page"), F.coalesce(F.col(page).cast("string"), F.lit("")), key, copy)
+    return F.concat_ws(":", F.lit("urn:page"), page, key, copy)
 
 
 def write_archives(pages: DataFrame, path: str, p: WarcParams = PARAMS) -> None:
@@ -157,29 +157,26 @@ def write_archives(pages: DataFrame, path: str, p: WarcParams = PARAMS) -> None:
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("key", F.sha1(F.encode("html", "UTF-8")))
-    slim = rows.select("page_id", "key", F.octet_length("html").alias("size"))
+    # the id as text, never null: the numbering and the join below share one shuffle of the pages
+    rows = rows.withColumn("id", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    slim = rows.select("page_id", "id", "key", F.octet_length("html").alias("size"))
     # the pages of a payload that several have; its first page is the response
     firsts = (
         slim.filter(F.col("size") >= p.min_revisit_bytes)
         .groupBy("key")
         .agg(F.count("*").alias("pages"), F.min("page_id").alias("first"))
         .filter("pages > 1")
+        .select("key", F.coalesce(F.col("first").cast("string"), F.lit("")).alias("first"))
     )
-    again = slim.select("page_id", "key").distinct().join(firsts, "key").select("page_id", "key", "first")
-    copy = W.partitionBy("page_id", "key").orderBy("url")
-    dealt = rows.withColumn("copy", F.row_number().over(copy)).alias("r")
-    both = dealt.join(
-        again.alias("a"),
-        F.col("r.page_id").eqNullSafe(F.col("a.page_id")) & (F.col("r.key") == F.col("a.key")),
-        "left",
-    )
-    origin = F.col("r.page_id").eqNullSafe(F.col("first")) & (F.col("copy") == 1)
-    repeated = F.col("a.key").isNotNull() & ~origin
+    again = slim.select("id", "key").distinct().join(firsts, "key").select("id", "key", "first")
+    copy = W.partitionBy("id", "key").orderBy("url")
+    both = rows.withColumn("copy", F.row_number().over(copy)).join(again, ["id", "key"], "left")
+    repeated = F.col("first").isNotNull() & ~((F.col("id") == F.col("first")) & (F.col("copy") == 1))
     records = both.select(
-        _record_id("r.page_id", "r.key", F.col("copy").cast("string")).alias("record_id"),
+        _record_id("id", "key", F.col("copy").cast("string")).alias("record_id"),
         "url",
         "html",
-        F.when(repeated, _record_id("first", "r.key", F.lit("1"))).alias("refers_to"),
+        F.when(repeated, _record_id("first", "key", F.lit("1"))).alias("refers_to"),
     ).mapInArrow(_write_batches(p), "record binary")
     # the text writer puts the bytes as they are and the end of a record after each
     (
