@@ -135,7 +135,7 @@ def _set_batches(size: int):
 def sketches(docs: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
     """doc_id, n_shingles, a 128-bit key of the set (set1, set2) and the band keys of every row."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sketch_batches(p), "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>"
+        tk.frugal(_sketch_batches(p)), "doc_id long, n_shingles long, set1 long, set2 long, bands array<long>"
     )
 
 
@@ -147,7 +147,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, p: NearDupParams = PARAMS)
     """
     some = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string"))
     return some.join(wanted.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        _set_batches(p.shingle), "doc long, shingles array<long>, cells array<int>"
+        tk.frugal(_set_batches(p.shingle)), "doc long, shingles array<long>, cells array<int>"
     )
 
 

@@ -380,7 +380,7 @@ def _encode_batches(p: Pieces):
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, token_ids, n_bytes and round_trip (the ids decode to the text) of every row."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _encode_batches(Pieces.load(model)),
+        tk.frugal(_encode_batches(Pieces.load(model))),
         "doc_id long, n_tokens long, token_ids array<int>, n_bytes long, round_trip boolean",
     )
 
@@ -402,5 +402,5 @@ def _decode_batches(p: Pieces):
 def decode(tokens: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id and text of rows with token_ids."""
     return tokens.select("doc_id", "token_ids").mapInArrow(
-        _decode_batches(Pieces.load(model)), "doc_id long, text string"
+        tk.frugal(_decode_batches(Pieces.load(model))), "doc_id long, text string"
     )

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.llm import textkit as tk
 from quire.llm.common import WORD, written
 
 # Primes below 2**31, so prime to any smaller number of blocks.
@@ -262,7 +263,7 @@ def mixed_documents(docs: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
     both = rows.alias("r").join(plan.alias("p"), on).select("row", "text", "parts")
     row_type = both.schema["row"].dataType.simpleString()
-    out = both.mapInArrow(_cut_words(p.max_repeats), f"row {row_type}, text string")
+    out = both.mapInArrow(tk.frugal(_cut_words(p.max_repeats)), f"row {row_type}, text string")
     cols = []
     for c in docs.columns:
         if c == "text":
