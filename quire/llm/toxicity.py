@@ -3,7 +3,9 @@
 Model: words get, from the documents that hold them, the log-odds of the toxic against the clean class under a
 Dirichlet prior proportional to the words' overall counts; words whose z-score
 is large enough score ``log-odds - drift``, all others ``-drift``, so scores
-drift down in clean text.  A linear scan finds a document's best segment, and,
+drift down in clean text.  Stems (the first characters of words) are counted
+alike, and a word that is too rare to score by itself scores as its stem, so a
+family of many endings is one token.  A linear scan finds a document's best segment, and,
 where it is significant, all maximal segments.  In clean text the best score of
 n words follows an extreme-value law with parameters lambda and K, fitted on
 clean labelled documents; normalised scores ``lambda * S - ln(K n)`` of the
@@ -38,11 +40,13 @@ from quire.llm.common import written
 @dataclass(frozen=True)
 class ToxicParams:
     max_labelled: int = 40_000
+    #: characters of the word beginnings that are scored besides whole words, longest first
+    stems: tuple[int, ...] = (6,)
     #: pseudo-counts of the Dirichlet prior
     prior: float = 10_000.0
-    #: words with a smaller |z| score as unknown words
+    #: words and stems with a smaller |z| are unknown
     min_z: float = 3.0
-    #: words in a model at most, those of largest |z|
+    #: words and stems in a model at most, those of largest |z|
     max_words: int = 65_536
     drift: float = 0.05
     #: segments up to this many expected in clean text are significant
@@ -64,12 +68,34 @@ class Model:
     coef: tuple[float, ...] = field(default=(0.0, 0.0, 0.0))
     drift: float = PARAMS.drift
     max_expected: float = PARAMS.max_expected
+    stems: tuple[int, ...] = PARAMS.stems
 
-    def word_scores(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(hashes), -self.drift)
-        k = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[k] == hashes, self.scores[k], 0.0) - self.drift
+    def word_scores(self, tokens: np.ndarray) -> np.ndarray:
+        """Score of every word: of the whole word where that is known, else of its longest known beginning."""
+        out = np.zeros(tokens.shape[1])
+        if len(self.words):
+            for hashes in tokens[::-1]:
+                k = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+                out = np.where(self.words[k] == hashes, self.scores[k], out)
+        return out - self.drift
+
+
+def token_hashes(buf: np.ndarray, starts: np.ndarray, stems: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of hashes of the chunk's words, a row for each length of stem; and where each document's words begin.
+
+    A stem is a word's first characters (not bytes), the whole word if it has no more; it is
+    another token than the word of the same letters.
+    """
+    low = tk.LOWER[buf]
+    s, e, first = tk.word_spans(low, starts, tk.NOT_ALNUM)
+    run = tk.prefix_hash(low)
+    rows = [tk.span_hash(run, s, e)]
+    letters = np.append(np.flatnonzero((low & 0xC0) != 0x80), len(low))
+    at = np.searchsorted(letters, s)
+    for n in stems:
+        end = np.minimum(e, letters[np.minimum(at + n, len(letters) - 1)])
+        rows.append(tk.mix(tk.span_hash(run, s, end) + tk.U64(n)))
+    return np.stack(rows), first
 
 
 def held_out(doc_id: Column) -> Column:
@@ -140,30 +166,40 @@ def _probability(m: Model, best: float, total: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, a + b * best + c * math.log1p(total)))))
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold a word, of every chunk, by half of the sample and class."""
-    for batch in batches:
-        group = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
-        for lo, hi, buf, starts in tk.chunks(batch.column(2)):
-            words, first = tk.word_hashes(tk.LOWER[buf], starts, tk.NOT_ALNUM)
-            doc = np.repeat(np.arange(hi - lo), np.diff(first))
-            order = np.lexsort((doc, words))
-            words, doc = words[order], doc[order]
-            one = np.ones(len(words), dtype=bool)
-            one[1:] = (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])
-            keys, back = np.unique(words[one], return_inverse=True)
-            n = np.bincount(back * 4 + group[lo:hi][doc[one]], minlength=4 * len(keys)).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), *[pa.array(n[:, i]) for i in range(4)]],
-                names=["word", "n0", "n1", "n2", "n3"],
-            )
+def _count_batches(stems: tuple[int, ...]):
+    """Documents that hold a word or stem, of every chunk, by half of the sample and class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy()
+            for lo, hi, buf, starts in tk.chunks(batch.column(2)):
+                tokens, first = token_hashes(buf, starts, stems)
+                for kind, words in enumerate(tokens):
+                    doc = np.repeat(np.arange(hi - lo), np.diff(first))
+                    order = np.lexsort((doc, words))
+                    words, doc = words[order], doc[order]
+                    one = np.ones(len(words), dtype=bool)
+                    one[1:] = (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])
+                    keys, back = np.unique(words[one], return_inverse=True)
+                    n = np.bincount(back * 4 + group[lo:hi][doc[one]], minlength=4 * len(keys)).reshape(-1, 4)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(keys), kind, np.int32)),
+                            pa.array(keys.view(np.int64)),
+                            *[pa.array(n[:, i]) for i in range(4)],
+                        ],
+                        names=["kind", "word", "n0", "n1", "n2", "n3"],
+                    )
+
+    return run
 
 
 def _word_model(counts: DataFrame, totals, clean: str, toxic: str, p: ToxicParams) -> Model:
-    """Words of significant log-odds; ``clean`` and ``toxic`` are SQL sums of the count columns."""
-    n_c, n_t = (sum(totals[x.strip()] for x in e.split("+")) for e in (clean, toxic))
+    """Words and stems of significant log-odds; ``clean`` and ``toxic`` are SQL sums of the count columns."""
+    sums = [[sum(row[x.strip()] for x in e.split("+")) for row in totals] for e in (clean, toxic)]
+    n_c, n_t = (F.element_at(F.array(*[F.lit(float(n)) for n in x]), F.col("kind") + 1) for x in sums)
     c, t = F.expr(clean), F.expr(toxic)
-    prior = p.prior * (c + t) / max(1, n_c + n_t)
+    prior = p.prior * (c + t) / F.greatest(F.lit(1.0), n_c + n_t)
     odds = F.log((t + prior) / (n_t + p.prior - t - prior)) - F.log((c + prior) / (n_c + p.prior - c - prior))
     z = odds / F.sqrt(1 / (t + prior) + 1 / (c + prior))
     top = (
@@ -177,7 +213,11 @@ def _word_model(counts: DataFrame, totals, clean: str, toxic: str, p: ToxicParam
     words = top["word"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(words)
     return Model(
-        words[order], top["odds"].to_numpy(dtype=np.float64)[order], drift=p.drift, max_expected=p.max_expected
+        words[order],
+        top["odds"].to_numpy(dtype=np.float64)[order],
+        drift=p.drift,
+        max_expected=p.max_expected,
+        stems=p.stems,
     )
 
 
@@ -188,8 +228,8 @@ def _feature_batches(models: list[Model]):
         for batch in batches:
             half = batch.column(0).to_numpy()
             for lo, hi, buf, starts in tk.chunks(batch.column(2)):
-                words, first = tk.word_hashes(tk.LOWER[buf], starts, tk.NOT_ALNUM)
-                by = [m.word_scores(words) for m in models]
+                tokens, first = token_hashes(buf, starts, models[0].stems)
+                by = [m.word_scores(tokens) for m in models]
                 own = [by[half[lo + d]][first[d] : first[d + 1]] for d in range(hi - lo)]
                 raw = [best_segment(x) for x in own]
                 both = [document_features(x, models[half[lo + d]])[:2] for d, x in enumerate(own)]
@@ -251,9 +291,12 @@ def learn(docs: DataFrame, labels: DataFrame, p: ToxicParams = PARAMS) -> Model:
         "toxic-train",
     )
     names = ["n0", "n1", "n2", "n3"]
-    counts = train.mapInArrow(_count_batches, "word long, n0 long, n1 long, n2 long, n3 long")
-    counts = written(counts.groupBy("word").agg(*[F.sum(n).alias(n) for n in names]), "toxic-counts")
-    totals = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first().asDict()
+    counts = train.mapInArrow(_count_batches(p.stems), "kind int, word long, n0 long, n1 long, n2 long, n3 long")
+    counts = written(counts.groupBy("kind", "word").agg(*[F.sum(n).alias(n) for n in names]), "toxic-counts")
+    by_kind = counts.groupBy("kind").agg(*[F.sum(n).alias(n) for n in names]).collect()
+    totals = [dict.fromkeys(names, 0) for _ in range(1 + len(p.stems))]
+    for row in by_kind:
+        totals[row["kind"]] = row.asDict()
     # group = half * 2 + class: each half is scored by the model of the other one
     halves = [_word_model(counts, totals, "n2", "n3", p), _word_model(counts, totals, "n0", "n1", p)]
     model = _word_model(counts, totals, "n0 + n2", "n1 + n3", p)
@@ -288,8 +331,8 @@ def _score_batches(m: Model):
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("strength", pa.float64())]))
         for batch in batches:
             for lo, hi, buf, starts in tk.chunks(batch.column(1)):
-                words, first = tk.word_hashes(tk.LOWER[buf], starts, tk.NOT_ALNUM)
-                scores = m.word_scores(words)
+                tokens, first = token_hashes(buf, starts, m.stems)
+                scores = m.word_scores(tokens)
                 out, segments = [], []
                 for d in range(hi - lo):
                     best, total, found = document_features(scores[first[d] : first[d + 1]], m)

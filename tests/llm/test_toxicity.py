@@ -40,6 +40,35 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
 
 
+def test_word_families_are_found(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for k in range(600):
+        words = sentence(rng, rng.randrange(20, 200), 300).split()
+        toxic = k % 5 == 0
+        if toxic:  # no whole word of the family comes back
+            words[5:5] = [f"réêoux{k}x{j}" for j in range(4)]
+        rows.append((k, " ".join(words), "a"))
+        labels.append((k, 1, int(toxic)))
+    got = x.classify(documents(spark, rows), spark.createDataFrame(labels, LABELS)).filter("held_out").collect()
+    assert sum(r.predicted for r in got if r.doc_id % 5 == 0) >= 0.95 * sum(r.doc_id % 5 == 0 for r in got)
+    assert not any(r.predicted for r in got if r.doc_id % 5)
+
+
+def test_stems_are_characters():
+    texts = ["Réêouxa reeuxab x", "réêouxb 漢字漢字漢字漢 reeuxac", "", "réêoux reeux"]
+    raw = [t.encode() for t in texts]
+    buf = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    tokens, first = x.token_hashes(buf, np.cumsum([0, *map(len, raw)]), (6,))
+    words = [w for t in texts for w in t.split()]
+    assert first.tolist() == [0, 3, 6, 6, 8] and tokens.shape == (2, 8)
+    low = [w.lower() for w in words]
+    for i, a in enumerate(low):
+        for j, b in enumerate(low):
+            assert (tokens[0, i] == tokens[0, j]) == (a == b) and (tokens[1, i] == tokens[1, j]) == (a[:6] == b[:6])
+    assert not set(tokens[0].tolist()) & set(tokens[1].tolist())
+
+
 def test_held_out_labels_are_not_used(spark):
     rows, labels = corpus()
     other = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 3 == 1 else t) for i, q, t in labels]
