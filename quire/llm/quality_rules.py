@@ -28,7 +28,7 @@ class QualityRules:
     window: int = 8
     #: a line is above the limits in a host if that many documents hold it ...
     min_line_docs: int = 10
-    #: ... and more than this many documents in a thousand of the host do
+    #: ... and more than this many documents in a thousand of the host do (0: the count alone)
     line_docs_per_mille: int = 5
     #: documents left with fewer words than this percentage are rejected
     min_left_percent: int = 30
@@ -148,8 +148,8 @@ def document_lines(docs: DataFrame) -> DataFrame:
 def frequent_lines(docs: DataFrame, lines: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     """Lines above the limits: source, line_key, first_doc.
 
-    A line needs a fixed share of its host's documents, so a host has at most
-    (lines per document / share) of them, whatever its size.
+    With a share, what is above the limits depends on the host's size.  Joins on
+    (source, line_key) are shuffled and split where skewed; they need no share.
     """
     hosts = (
         docs.select("doc_id", "source")

@@ -43,6 +43,17 @@ def test_quality(stages):
     assert collections.Counter(r.doc_id for r in after.collect()) == kept
 
 
+def test_lines_of_a_large_host_are_removed(spark):
+    """Ten documents of a host share a line, whatever the host's size."""
+    shared = "subscribe to our daily letter now"
+    own = lambda k: " ".join(f"own{k}x{j}" for j in range(25))
+    for size in (100, 2_500):
+        docs = documents(spark, [(k, own(k) + ("\n" + shared) * (k < 10), "h") for k in range(size)])
+        out = c.quality(spark, docs, "")
+        assert out.count() == size
+        assert [r.doc_id for r in out.filter(out.text.contains(shared)).collect()] == [0]
+
+
 def test_near_duplicates(stages):
     _, before, after = stages[1]
     want = {i for i, _, _, kept in components(rows(before), 80) if kept and i is not None}
