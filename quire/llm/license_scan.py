@@ -1,13 +1,15 @@
-"""Licence detection: a positional index of rare licence words, verified by key phrases.
-
-Templates are short public licence texts.  The index lists, for every template
-word, the templates and positions that hold it; a word's weight is its inverse
-document frequency over all scanned documents and the templates.  In each
-document the highest-weighted licence words are looked up; every posting votes
-for an alignment (template, document position minus template position).  An
-alignment with enough votes is scored by the share of the template's words,
-weighted, that stand within ``slack`` words of their place, and a template
-counts only if its mandatory key phrases stand in the aligned stretch.
+"""Licence detection: a positional index of licence words, verified by key phrases.
+
+Templates are short public licence texts; a word's weight is its inverse
+document frequency over all scanned documents and the templates.  The index
+lists, with their positions, a template's highest-weighted words, as many as it
+takes for all its other words together to stay below ``min_share``: a place
+that reaches the share has one of them.  In each document these words are
+looked up; every posting gives an alignment (template, document position minus
+template position), and all alignments within ``slack`` of it are scored by the
+share of the template's words, weighted, that stand within ``slack`` words of
+their place.  A template counts only if its mandatory key phrases stand in the
+aligned stretch.  So the result is that of scoring every alignment.
 
 Besides the templates' labels every document gets base labels from three
 phrases, wherever their words stand consecutively.
@@ -100,8 +102,6 @@ TEMPLATES = [
 
 @dataclass(frozen=True)
 class LicenseParams:
-    #: rarest licence words of a template of which one must stand in a place to look at it
-    rare_words: int = 4
     #: words that an aligned word may stand off its place
     slack: int = 3
     #: least weighted share of a template's words in place
@@ -131,10 +131,13 @@ class Index:
         for t, words in enumerate(self.texts):
             at = np.searchsorted(self.vocabulary, words)
             self.place.append(at)
-            rare = sorted(range(len(words)), key=lambda i: (-self.weight[at[i]], i))[: p.rare_words]
-            for i in rare:
+            weight = self.weight[at] + 1e-9
+            order = np.argsort(-weight, kind="stable")
+            # what the words from each on weigh; posted up to where the rest cannot make the share (less rounding)
+            rest = np.cumsum(weight[order][::-1])[::-1]
+            for i in order[rest >= p.min_share * weight.sum() * (1 - 1e-9)].tolist():
                 self.postings[int(at[i])].append((t, i))
-        self.rare = np.array(sorted(self.postings))
+        self.lookups = np.array(sorted(self.postings))
         self.base = [_words(k) for k in BASE_PHRASES]
 
     def find(self, words: np.ndarray) -> np.ndarray:
@@ -148,32 +151,40 @@ class Index:
 
     def templates(self, words: np.ndarray, found: np.ndarray) -> dict[int, tuple[float, int]]:
         """Template -> (best share, first word of the best place) of one document."""
-        votes: dict[tuple[int, int], int] = defaultdict(int)
-        for i in np.flatnonzero(np.isin(found, self.rare)):
-            for t, at in self.postings[int(found[i])]:
-                votes[t, int(i) - at] += 1
+        slack = self.p.slack
+        seen: dict[int, list[np.ndarray]] = defaultdict(list)
+        looked_up = np.flatnonzero(np.isin(found, self.lookups))
+        for k in np.unique(found[looked_up]).tolist():
+            here = looked_up[found[looked_up] == k]
+            for t, at in self.postings[k]:
+                seen[t].append(here - at)
         best: dict[int, tuple[float, int]] = {}
-        need = {t: math.ceil(min(self.p.rare_words, len(x)) / 2) for t, x in enumerate(self.texts)}
-        for (t, off), _ in votes.items():
-            # votes of neighbouring offsets count: a word may be missing or added
-            n = sum(votes.get((t, off + d), 0) for d in range(-self.p.slack, self.p.slack + 1))
-            if n < need[t]:
-                continue
-            share = self._share(t, off, found)
-            if share >= self.p.min_share and share > best.get(t, (0.0, 0))[0] and self._has_keys(t, off, words):
-                best[t] = (share, max(0, off))
+        for t, offs in seen.items():
+            # a word may be missing or added: every place that has the looked-up word within slack
+            offs = np.unique(np.unique(np.concatenate(offs))[:, None] + np.arange(-slack, slack + 1))
+            share, exact = self._shares(t, offs, found)
+            good = np.flatnonzero(share >= self.p.min_share)
+            for i in good[np.lexsort((offs[good], -exact[good], -share[good]))].tolist():
+                if self._has_keys(t, int(offs[i]), words):
+                    best[t] = (float(share[i]), max(0, int(offs[i])))
+                    break
         return best
 
-    def _share(self, t: int, off: int, found: np.ndarray) -> float:
+    def _shares(self, t: int, offs: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weighted share of a template's words within slack of their place, and exactly there, by place."""
         at, slack = self.place[t], self.p.slack
-        where = off + np.arange(len(at))
-        hit = np.zeros(len(at), dtype=bool)
-        for d in range(-slack, slack + 1):
-            k = where + d
-            ok = (k >= 0) & (k < len(found))
-            hit[ok] |= found[k[ok]] == at[ok]
         weight = self.weight[at] + 1e-9
-        return float(weight[hit].sum() / weight.sum())
+        pad = len(at) + 2 * slack
+        padded = np.concatenate((np.full(pad, -1), found, np.full(pad, -1)))
+        share, exact = np.zeros(len(offs)), np.zeros(len(offs))
+        for i in range(0, len(offs), 4096):
+            where = offs[i : i + 4096, None] + np.arange(len(at)) + pad
+            there = padded[where] == at
+            exact[i : i + 4096] = (there * weight).sum(axis=1)
+            for d in range(1, slack + 1):
+                there |= (padded[where - d] == at) | (padded[where + d] == at)
+            share[i : i + 4096] = (there * weight).sum(axis=1) / weight.sum()
+        return share, exact
 
     def _has_keys(self, t: int, off: int, words: np.ndarray) -> bool:
         slack = self.p.slack
