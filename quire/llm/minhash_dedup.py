@@ -315,12 +315,18 @@ def near_duplicates(docs: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
-    """One document of each group: the rows, with all columns, whose id is its component's smallest.
+    """One text of each group: the row, with all columns, of its smallest id.
 
-    Of rows that share such an id the one with the smallest text hash stays.
+    Different texts under one id are decided each by itself; of rows that agree in
+    id and text one stays, and all rows without an id.
     """
-    verdict = near_duplicates(docs, p).filter("kept and doc_id is not null").select("doc_id").distinct()
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id")
-    stay = row.join(verdict, "doc_id", "left_semi")
-    one = stay.groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    return one.select("row").union(row.filter("doc_id is null").select("row")).select("row.*")
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    # the operator over texts: an id of its own for every text of a document, so ids tie nothing
+    texts = docs.select(key.alias("doc_id"), "text")
+    groups = near_duplicates(texts, p).filter("doc_id is not null").select(F.col("doc_id").alias("key"), "component_id")
+    ids = docs.select("doc_id", key.alias("key")).filter("doc_id is not null").distinct()
+    first = F.min(F.struct("doc_id", "key"))
+    stay = groups.distinct().join(ids, "key").groupBy("component_id").agg(first.alias("x")).select("x.key")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    one = row.join(stay, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return one.select("row").union(row.filter("key is null").select("row")).select("row.*")

@@ -61,6 +61,14 @@ def test_near_duplicates(stages):
     assert sorted(got) == sorted(want)
 
 
+def test_texts_of_a_shared_id_are_kept(spark):
+    """a stands under 1 and 5; b, under 5 and 7, is a near duplicate of nothing that is kept."""
+    a, b, other = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    docs = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (7, b, "s"), (9, other, "s"), (9, other, "s"), (None, a, "s")]
+    out = c.near_dedup(spark, documents(spark, docs, clash=True), "")
+    assert sorted(rows(out), key=str) == sorted([(1, a, "s"), (5, b, "s"), (9, other, "s"), (None, a, "s")], key=str)
+
+
 def test_repeated_passages(stages):
     _, before, after = stages[2]
     lost = {i: n for i, _, n, _, _ in repeats(rows(before))}
