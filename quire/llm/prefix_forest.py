@@ -183,7 +183,7 @@ def _count_ranges(p: ForestParams, first: int):
 
 
 def _score_ranges(p: ForestParams, keep: int):
-    """The best ``keep`` vectors of each query's range in the block."""
+    """The best ``keep`` vectors of each query's range in the block, ties to the smallest ``rep``."""
 
     def run(index: pa.Table, asks: pa.Table) -> pa.Table:
         strings = index.column("string").to_numpy()
@@ -191,6 +191,7 @@ def _score_ranges(p: ForestParams, keep: int):
         strings, reps = strings[order], index.column("rep").to_numpy()[order]
         x = _matrix(index.column("v")).astype(np.float64)[order] if len(index) else np.zeros((0, 1))
         q, who = _matrix(asks.column("v")).astype(np.float64), asks.column("rep").to_numpy()
+        longest, sizes = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
         lo, hi = prefix_ranges(strings, asks.column("string").to_numpy(), asks.column("depth").to_numpy(), p.bits)
         out = []
         for a, b in np.unique(np.stack((lo, hi), axis=1), axis=0):
@@ -200,17 +201,20 @@ def _score_ranges(p: ForestParams, keep: int):
             for i in range(0, len(there), 256):  # queries of one range against its vectors
                 k = there[i : i + 256]
                 products = q[k] @ x[a:b].T
-                m = min(keep + 4, b - a)
-                best = np.argpartition(-products, m - 1, axis=1)[:, :m] + a
-                exact = (q[k][:, None, :] * x[best]).sum(axis=2)
-                top = np.lexsort((reps[best], -exact), axis=1)[:, :keep]
-                out.append(
-                    (
-                        np.repeat(who[k], top.shape[1]),
-                        np.take_along_axis(reps[best], top, 1).ravel(),
-                        np.take_along_axis(exact, top, 1).ravel(),
-                    )
-                )
+                m = min(keep, b - a)
+                least = -np.partition(-products, m - 1, axis=1)[:, m - 1 : m]
+                # all that tie with the last of them, but for what the products round
+                room = 4 * x.shape[1] * np.finfo(float).eps * sizes[k][:, None] * longest[a:b].max()
+                asked, best = np.nonzero(products >= least - room)
+                best += a
+                exact = np.empty(len(best))
+                for j in range(0, len(best), 1 << 14):
+                    part = slice(j, j + (1 << 14))
+                    exact[part] = (q[k[asked[part]]] * x[best[part]]).sum(axis=1)
+                order = np.lexsort((reps[best], -exact, asked))
+                asked, best, exact = asked[order], best[order], exact[order]
+                top = np.arange(len(asked)) - np.searchsorted(asked, asked) < keep
+                out.append((who[k[asked[top]]], reps[best[top]], exact[top]))
         empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float64))
         a, b, c = (np.concatenate(z) for z in zip(*out, strict=True)) if out else empty
         return pa.table({"query": pa.array(a), "found": pa.array(b), "score": pa.array(c)})

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -81,3 +82,24 @@ def test_strings_share_prefixes_with_direction(norms):
     common = lambda a, b: f.PARAMS.bits - int(a ^ b).bit_length()
     assert np.mean([common(a, b) for a, b in zip(s[0], s[1], strict=True)]) > 20
     assert np.mean([common(a, b) for a, b in zip(s[0], s[2], strict=True)]) < 1
+
+
+def test_ties_of_distinct_vectors_go_to_the_smallest_ids():
+    """Three hundred different vectors have the same product with the query."""
+    n, keep = 300, 21
+    rng = np.random.default_rng(4)
+    rep = rng.permutation(n)
+    v = np.zeros((n, 12), dtype=np.float32)
+    v[:, 0] = 1
+    v[:, 1:] = (rep[:, None] >> np.arange(11)) & 1
+    v[rep % 100 == 7, 0] = 2
+    table = lambda reps, x, **more: pa.table(
+        {"rep": pa.array(reps), "v": pa.array(x.tolist(), pa.list_(pa.float32())), **more}
+    )
+    index = table(rep, v, string=pa.array(np.arange(n)))
+    ask = np.zeros((1, 12), dtype=np.float32)
+    ask[0, 0] = 1
+    asks = table(np.array([5000]), ask, string=pa.array([0]), depth=pa.array([0], pa.int32()))
+    got = f._score_ranges(f.PARAMS, keep)(index, asks).to_pydict()
+    want = sorted(((-2.0 if k % 100 == 7 else -1.0), k) for k in range(n))[:keep]
+    assert sorted((-s, k) for s, k in zip(got["score"], got["found"], strict=True)) == want
