@@ -7,16 +7,25 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 from tests.conftest import ROOT
 
 
-def test_entry_without_the_optional_parts(tmp_path):
-    shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
+@pytest.mark.parametrize("files", [["__spark_entry__.py"], ["__spark_entry__.py", "corpus_pipeline.py"]])
+def test_entry_without_the_optional_parts(tmp_path, files):
+    for f in files:
+        if os.path.exists(os.path.join(ROOT, f)):
+            shutil.copy(os.path.join(ROOT, f), tmp_path)
     shutil.copytree(
         os.path.join(ROOT, "quire"), tmp_path / "quire", ignore=shutil.ignore_patterns("llm", "__pycache__")
     )
     code = "import __spark_entry__ as e; print(len(e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
-    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    # a PYTHONPATH that names the repository would find its subpackage and pipeline
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True
+    )
     n, covered = out.stdout.split()
     assert int(n) > 90 and covered == "True"
     assert not any("quire.llm" in open(os.path.join(d, f)).read()
