@@ -14,11 +14,8 @@ from quire.llm.common import read_table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without lines that are above the limit of documents.
-
-    The limit is the count alone: a share of the host would let boilerplate of a large host pass.
-    """
-    return quality_rules.apply_rules(docs, quality_rules.QualityRules(line_docs_per_mille=0))
+    """Documents that pass the quality rules, without lines that are above the limit of documents."""
+    return quality_rules.apply_rules(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
