@@ -135,11 +135,7 @@ norm as (
          sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) as lw
   from ok group by all
 ),
-hosts as (select source, count(distinct doc_id) as host_docs from d group by source),
-hot as (
-  select n.source, k, min(doc_id) as first_doc from norm n join hosts h on n.source is not distinct from h.source
-  group by n.source, k, host_docs having count(distinct doc_id) >= 10 and 1000 * count(distinct doc_id) > 5 * host_docs
-),
+hot as (select source, k, min(doc_id) as first_doc from norm group by source, k having count(distinct doc_id) >= 10),
 lost as (
   select n.doc_id, sum(lw) as lost from norm n join hot h on n.k = h.k and n.source is not distinct from h.source
   where n.doc_id <> h.first_doc group by n.doc_id

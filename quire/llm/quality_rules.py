@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import WORD, let
+from quire.llm.common import WORD, let, written
 
 
 @dataclass(frozen=True)
@@ -26,10 +26,8 @@ class QualityRules:
     min_words: int = 20
     max_repeat_percent: int = 30
     window: int = 8
-    #: a line is above the limits in a host if that many documents hold it ...
+    #: a line is above the limit in a host if that many documents hold it, whatever the host's size
     min_line_docs: int = 10
-    #: ... and more than this many documents in a thousand of the host do (0: the count alone)
-    line_docs_per_mille: int = 5
     #: documents left with fewer words than this percentage are rejected
     min_left_percent: int = 30
 
@@ -145,31 +143,25 @@ def document_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, lines: DataFrame, rules: QualityRules = RULES) -> DataFrame:
-    """Lines above the limits: source, line_key, first_doc.
+def frequent_lines(lines: DataFrame, rules: QualityRules = RULES) -> DataFrame:
+    """Lines above the limit: source, line_key, first_doc.
 
-    With a share, what is above the limits depends on the host's size.  Joins on
-    (source, line_key) are shuffled and split where skewed; they need no share.
+    The limit is a number of distinct documents; a share of the host's documents
+    would let boilerplate of a large host pass.
     """
-    hosts = (
-        docs.select("doc_id", "source")
-        .groupBy("source")
-        .agg(F.countDistinct("doc_id").alias("host_docs"))
-    )
     counts = lines.groupBy("source", "line_key").agg(
         F.countDistinct("doc_id").alias("n_docs"), F.min("doc_id").alias("first_doc")
     )
-    counts = counts.filter(F.col("n_docs") >= rules.min_line_docs).alias("c")
-    above = counts.join(hosts.alias("h"), F.col("c.source").eqNullSafe(F.col("h.source")))
-    return above.filter(
-        1000 * F.col("n_docs") > rules.line_docs_per_mille * F.col("host_docs")
-    ).select("c.source", "line_key", "first_doc")
+    return counts.filter(F.col("n_docs") >= rules.min_line_docs).drop("n_docs")
 
 
 def removed_lines(docs: DataFrame, rules: QualityRules = RULES) -> DataFrame:
-    """The lines to remove: doc_id, source, text_key, line_key, line_words."""
-    lines = document_lines(docs)
-    hot = frequent_lines(docs, lines, rules).alias("f")
+    """The lines to remove: doc_id, source, text_key, line_key, line_words.
+
+    The line table is written once: it is counted and then joined with the counts.
+    """
+    lines = written(document_lines(docs), "document-lines")
+    hot = frequent_lines(lines, rules).alias("f")
     return (
         lines.alias("l")
         .join(
@@ -182,14 +174,17 @@ def removed_lines(docs: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     )
 
 
-def score_documents(docs: DataFrame, rules: QualityRules = RULES) -> DataFrame:
-    """Base counts, words left after line removal and the verdict of every row."""
+def score_documents(docs: DataFrame, rules: QualityRules = RULES, removed: DataFrame | None = None) -> DataFrame:
+    """Base counts, words left after line removal and the verdict of every row.
+
+    ``removed``: the table of ``removed_lines`` where the caller has it already.
+    An empty table gives an empty result.  Texts of any length are one row each,
+    measured whole.
+    """
     base = base_measures(docs, rules).alias("b")
-    lost = (
-        removed_lines(docs, rules)
-        .groupBy("doc_id", "source", "text_key")
-        .agg(F.sum("line_words").alias("lost"))
-    )
+    if removed is None:
+        removed = removed_lines(docs, rules)
+    lost = removed.groupBy("doc_id", "source", "text_key").agg(F.sum("line_words").alias("lost"))
     keys = ("doc_id", "source", "text_key")
     same = [F.col(f"b.{k}").eqNullSafe(F.col(f"x.{k}")) for k in keys]
     left = F.col("n_words") - F.coalesce(F.col("lost"), F.lit(0))
@@ -211,12 +206,9 @@ def apply_rules(docs: DataFrame, rules: QualityRules = RULES) -> DataFrame:
     keyed = docs.select(
         row, "doc_id", "source", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
     )
-    gone = (
-        removed_lines(docs, rules)
-        .groupBy("doc_id", "source", "text_key")
-        .agg(F.collect_set("line_key").alias("keys"))
-    )
-    verdict = score_documents(docs, rules).groupBy("doc_id", "source", "text_key").agg(
+    removed = written(removed_lines(docs, rules), "removed-lines")
+    gone = removed.groupBy("doc_id", "source", "text_key").agg(F.collect_set("line_key").alias("keys"))
+    verdict = score_documents(docs, rules, removed).groupBy("doc_id", "source", "text_key").agg(
         F.first("kept").alias("kept")
     )
     keys = ("doc_id", "source", "text_key")

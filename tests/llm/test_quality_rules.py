@@ -25,16 +25,15 @@ def measures(text):
 
 def verdicts(rows, rules):
     key = lambda x: " ".join(WORD.findall(x)).lower()
-    held, hosts = collections.defaultdict(set), collections.defaultdict(set)
+    held = collections.defaultdict(set)
     for i, t, s in rows:
-        hosts[s].add(i)
         for x in (t or "").split("\n"):
             if WORD.search(x):
                 held[s, key(x)].add(i)
     hot = {}
     for (s, k), ids in held.items():
         n = len(ids - {None})
-        if n >= rules.min_line_docs and 1000 * n > rules.line_docs_per_mille * len(hosts[s] - {None}):
+        if n >= rules.min_line_docs:
             hot[s, k] = min(ids - {None})
     out = []
     for i, t, s in rows:
@@ -63,6 +62,15 @@ def test_equals_brute_force(spark, rules):
     assert fix(got) == fix(verdicts(rows, rules))
 
 
+@pytest.mark.parametrize("size", [3_000, 6_000])
+def test_the_limit_does_not_follow_the_host(spark, size):
+    """A line of 20 documents goes in a host of any size."""
+    own = "\n".join(f"own line {k} of this document" for k in range(6))
+    rows = [(k, own.replace("own", f"o{k}") + ("\nthe shared line" if k < 20 else ""), "h") for k in range(size)]
+    gone = q.removed_lines(documents(spark, rows))
+    assert sorted(r.doc_id for r in gone.collect()) == list(range(1, 20))
+
+
 def test_rejects_depleted_but_keeps_the_first(spark):
     text = "\n".join(" ".join(f"w{k}{j}" for j in range(10)) for k in range(6))
     rows = [(k, text, "h") for k in range(10)] + [(50, " ".join(f"own{j}" for j in range(30)), "h")]
