@@ -195,6 +195,50 @@ select page_id, cap.host, cap.day, coalesce(lists, '') as lists, cast(coalesce(n
 from cap left join best on cap.host = best.host and cap.day = best.day
 """
 
+OP11 = r"""
+with c as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, t, r, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) x(t, r)
+),
+e as (
+  select *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g')) + len(string_split(text, '### ')) - 1
+    + len(string_split(text, '</turn>')) - 1 + len(string_split(text, '<|')) - 1
+    + length('### : </turn>') + 1
+    + case when role in ('system', 'user', 'assistant', 'tool') then length(role) end as n from c
+),
+g as (
+  select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn) as said,
+    coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn), '') as loss, sum(n) as n from e group by conv_id
+)
+select conv_id, n_turns, sha256(said) as turns_sha256, cast(length(loss) as bigint) as loss_chars,
+  sha256(loss) as loss_sha256, cast(n as bigint) as formatted_chars from g
+"""
+
+OP13 = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws from documents
+),
+q as (
+  select distinct item_id, term from (
+    select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+),
+g as (select cast(count(*) as bigint) as nn, cast(sum(len(ws)) as bigint) as ll from d where len(ws) > 0),
+o as (select doc_id, cast(len(ws) as bigint) as n, unnest(ws) as term from d),
+tf as (select doc_id, n, term, count(*) as tf from o where term in (select term from q) group by all),
+w as (
+  select term, cast(floor(1000 * ln((2 * (select nn from g) + 2) / (2 * count(*) + 1)::double)) as bigint) as w from tf group by term
+),
+s as (
+  select item_id, doc_id,
+    cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll)))) as bigint) as score
+  from q join tf using (term) join w using (term) cross join g group by item_id, doc_id
+),
+r as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mix": OP2,
     "op3_minhash_dedup": OP3,
@@ -202,4 +246,6 @@ ORACLE: dict[str, str] = {
     "op7_suffix_dedup": OP7,
     "op9_quality_rules": OP9,
     "op10_url_filters": OP10,
+    "op11_chat_format": OP11,
+    "op13_ranked_search": OP13,
 }

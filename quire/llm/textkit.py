@@ -161,6 +161,17 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, gap: np.ndarray = SPACE) ->
     return span_hash(prefix_hash(buf), s, e), first
 
 
+def equal_spans(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes of ``a`` from ``at_a`` on are those of ``b`` from ``at_b`` on, for each span."""
+    if not len(size):
+        return np.zeros(0, dtype=bool)
+    ends = np.cumsum(size)
+    inside = np.arange(int(ends[-1]), dtype=np.int64) - np.repeat(ends - size, size)
+    unlike = a[np.repeat(at_a, size) + inside] != b[np.repeat(at_b, size) + inside]
+    found = np.concatenate(([0], np.cumsum(unlike)))
+    return found[ends] == found[ends - size]
+
+
 def combine(parts: list[np.ndarray]) -> np.ndarray:
     """One hash of aligned hash columns, order-sensitive."""
     out = np.zeros(len(parts[0]), dtype=U64)
