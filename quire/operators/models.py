@@ -13,10 +13,12 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators import blend as B
+from quire.operators.factors import item_factors, user_factors
+from quire.operators.recommend import top_items
 from quire.session import ensure_checkpoint_dir
 
 
@@ -115,36 +117,14 @@ def read_variant(
 def recommend_top_k(model: ALSModel, users: DataFrame, k: int,
                     user_col: str = "user_id", item_col: str = "book_id",
                     seen: DataFrame | None = None) -> DataFrame:
-    """Top-k items over the whole catalogue for the given users.
-
-    Spark scores factor *blocks* against each other and keeps a bounded top-k
-    per user and block, so memory per user is O(k), never O(#items).  With
-    ``seen`` (user, item) pairs a user's seen items take up no places: the list
-    is asked for as many more items as any of these users has seen, seen pairs
-    are removed, and the positions are counted anew.  Output is long form
-    (user, item, pos, prediction).
+    """Top-k items over the whole catalogue for the given users (J9), in long form.
+
+    (user, item, pos, prediction).  ``seen`` (user, item) pairs are left out inside the
+    search (see ``recommend``): a user's history takes up no places of the own
+    list and does not lengthen anyone else's.
     """
-    asked = users.select(user_col).distinct()
-    more = 0
-    if seen is not None:
-        seen = seen.select(user_col, item_col).distinct()
-        most = (
-            seen.join(asked, user_col, "left_semi").groupBy(user_col).count().agg(F.max("count"))
-        )
-        more = most.first()[0] or 0
-    recs = model.recommendForUserSubset(asked, k + more).select(
-        user_col, F.posexplode("recommendations").alias("pos0", "rec")
-    ).select(
-        user_col,
-        F.col(f"rec.{item_col}").alias(item_col),
-        (F.col("pos0") + 1).cast("int").alias("pos"),
-        F.col("rec.rating").alias("prediction"),
-    )
-    if seen is None:
-        return recs
-    unseen = recs.join(seen, [user_col, item_col], "left_anti")
-    w = Window.partitionBy(user_col).orderBy("pos")
-    return unseen.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
+    asked = user_factors(model, user_col).join(users.select(user_col).distinct(), user_col, "left_semi")
+    return top_items(asked, item_factors(model, item_col), k, user_col, item_col, seen)
 
 
 def fit_lr(train: DataFrame, reg: float, net: float, max_iter: int = 200,

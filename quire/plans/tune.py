@@ -1,17 +1,21 @@
 """Grid search: one generic job parameterised by a scorer (L1-L5), plus the
 result sink and winner selection (A5, A6, D10, D11, L7).
 
-The driver only loops over configurations (a few dozen at most) and receives
-one metrics row per configuration; every fit and evaluation is a distributed
-job over cached inputs.
+The driver hands out configurations (a few dozen at most) and receives one
+metrics row per configuration; every fit and evaluation is a distributed job.
+The sink is the grid's ledger: it is keyed by configuration, a rerun fits only
+what it does not hold, and a retried write replaces its own row.  Several
+configurations may run at once, each in a scheduler pool of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,19 +46,64 @@ def grid_search(
     k: int = 500,
     prediction_col: str = "prediction",
     sink: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Evaluate every configuration; returns the results table (RESULTS schema).
 
-    Each configuration's row is appended to ``sink`` (a Parquet table in the
-    shared folder) as soon as it is known, so a failure late in a long grid
-    loses nothing that was evaluated before.
+    Each configuration's row is committed to ``sink`` (see ``commit_results``) as soon as
+    it is known.  Configurations of this variant and sample that the sink
+    holds already are not fitted again, so a grid that was stopped goes on where
+    it was; ``parallelism`` of them run at a time.
     """
     sink = sink or scratch_path(spark, f"grid-{variant}")
-    for p in configs:
+
+    def job(p: MD.ALSParams) -> None:
         m = evaluate_topk(scorer(p), heldout, k=k, prediction_col=prediction_col).first()
         row = (variant, sample, p.max_iter, p.rank, float(p.reg), *_metrics(m))
-        append_results(spark.createDataFrame([row], RESULTS), sink)
-    return spark.read.schema(RESULTS).parquet(sink)
+        commit_results(spark.createDataFrame([row], RESULTS), sink, RESULT_KEYS)
+
+    rows = [(variant, sample, p.max_iter, p.rank, float(p.reg)) for p in configs]
+    run_open(spark, configs, rows, RESULTS, RESULT_KEYS, sink, job, parallelism)
+    mine = (F.col("variant") == variant) & (F.col("sample") == sample)
+    return read_results(spark, sink, RESULTS).where(mine)
+
+
+def run_open(spark, configs: list, rows: list[tuple], schema: T.StructType, keys: list[str], sink: str,
+             job: Callable, parallelism: int = 1) -> None:
+    """Runs ``job`` on the configurations that the ledger ``sink`` lacks, several at a time.
+
+    ``rows``: each configuration's values of ``keys``.  Every job runs in the
+    scheduler pool ``grid-<slot>`` (fair sharing where the session's scheduler
+    mode is FAIR).  After a failure the running jobs end, no new ones begin, and
+    the error is raised.
+    """
+    wanted = T.StructType([schema[c] for c in keys] + [T.StructField("_at", T.IntegerType())])
+    asked = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], wanted)
+    done = read_results(spark, sink, schema).select(*keys)
+    same = [asked[c].eqNullSafe(done[c]) for c in keys]
+    waiting = sorted(r[0] for r in asked.join(done, same, "left_anti").select("_at").collect())
+    if parallelism <= 1:
+        for i in waiting:
+            job(configs[i])
+        return
+    failed: list[BaseException] = []
+
+    def one(i: int, slot: int) -> None:
+        if failed:
+            return
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{slot}")
+        try:
+            job(configs[i])
+        except BaseException as e:  # noqa: BLE001
+            failed.append(e)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        for n, i in enumerate(waiting):
+            pool.submit(inheritable_thread_target(spark)(one), i, n % parallelism)
+    if failed:
+        raise failed[0]
 
 
 def _metrics(m) -> tuple:
@@ -75,12 +124,15 @@ def tune_and_test(
     variant: str,
     sample: str,
     k: int = 500,
+    sink: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Grid on the validation pairs, winner, evaluation of the winner on the test pairs.
 
     ``val`` and ``test`` are (scorer, held-out pairs).
     """
-    p = winner(grid_search(spark, configs, val[0], val[1], variant, sample, k))
+    grid = grid_search(spark, configs, val[0], val[1], variant, sample, k, sink=sink, parallelism=parallelism)
+    p = winner(grid)
     m = evaluate_topk(test[0](p), test[1], k=k)
     config = [F.lit(p.max_iter).alias("max_iter"), F.lit(p.rank).alias("rank"), F.lit(float(p.reg)).alias("reg")]
     return m.select(F.lit(variant).alias("variant"), F.lit(sample).alias("sample"), *config, *m.columns)
@@ -145,13 +197,19 @@ def lr_grid(
     sample: str,
     k: int = 25,
     max_iter: int = 200,
+    sink: str | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """Elastic-net grid: RMSE over all clamped predictions, MAP over top-k
-    ranked review pairs vs the user's reviewed held-out pairs."""
+    ranked review pairs vs the user's reviewed held-out pairs.  Resumes and
+    runs several points at a time as ``grid_search`` does."""
     # a new schema: StructType.add would mutate the shared RESULTS in place
     schema = T.StructType(RESULTS.fields + [T.StructField("net", T.DoubleType())])
-    sink = scratch_path(spark, "grid-lr")
-    for reg, net in product(regs, nets):
+    keys = [*RESULT_KEYS, "net"]
+    sink = sink or scratch_path(spark, "grid-lr")
+
+    def job(point: tuple[float, float]) -> None:
+        reg, net = point
         model = MD.fit_lr(train_feats, reg, net, max_iter=max_iter)
         pred = cached(MD.review_predictions(model, val_feats))  # read by two actions
         m = evaluate_topk(pred, val_feats, k=k).first()
@@ -160,8 +218,12 @@ def lr_grid(
         pred.unpersist()
         metrics = (_f(rmse_all), *_metrics(m)[1:])
         row = ("lr", sample, max_iter, 0, float(reg), *metrics, float(net))
-        append_results(spark.createDataFrame([row], schema), sink)
-    return spark.read.schema(schema).parquet(sink)
+        commit_results(spark.createDataFrame([row], schema), sink, keys)
+
+    points = list(product(regs, nets))
+    rows = [("lr", sample, max_iter, 0, float(reg), float(net)) for reg, net in points]
+    run_open(spark, points, rows, schema, keys, sink, job, parallelism)
+    return read_results(spark, sink, schema).where(F.col("sample") == sample)
 
 
 def lr_winner(results: DataFrame) -> tuple[float, float]:
@@ -222,9 +284,34 @@ def leaderboard(results: DataFrame, keys=("variant", "sample"), config=ALS_CONFI
     return best_config(results, keys, config).orderBy("sample", "best_rmse")
 
 
-def append_results(results: DataFrame, path: str) -> None:
-    """Append-only results sink (A5): one Parquet table for every run."""
-    results.write.mode("append").parquet(path)
+#: what tells the rows of a results table apart
+RESULT_KEYS = ["variant", "sample", "max_iter", "rank", "reg"]
+
+
+def commit_results(results: DataFrame, path: str, keys: list[str]) -> None:
+    """Appends rows to a results table (A5); a row replaces an earlier one of the same keys.
+
+    Each key is a partition of its own, and a write replaces the partitions it
+    has rows for and no others.  So a retried or repeated append leaves one row
+    per key, and appends of different keys may run at the same time.  Rows of one
+    append that share a key count once.
+    """
+    key = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in keys]))
+    rest = [c for c in results.columns if c not in keys]
+    one = results.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")) if rest else results.distinct()
+    flat = one.select(*[F.col(c) if c in keys else F.col(f"_r.{c}") for c in results.columns], key.alias("_key"))
+    flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_key").parquet(path)
+
+
+def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows committed so far; none where nothing was written yet."""
+    keyed = T.StructType(schema.fields + [T.StructField("_key", T.StringType())])
+    try:
+        return spark.read.schema(keyed).parquet(path).drop("_key")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_results_csv(results: DataFrame, path: str) -> None:

@@ -14,13 +14,15 @@ Two families:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from quire.functions.columns import hash_bucket, typed_interactions
 from quire.operators import models as MD
 from quire.operators.split import SAMPLE_BUCKETS
 from quire.plans import tune as TU
-from quire.plans.evaluate import evaluate_topk
+from quire.plans.evaluate import evaluate_cutoffs
 from quire.registry.common import _hb, parts, r6, scored, sql_with
 from quire.registry.models import _review_features, read_features
 from quire.session import scratch_path
@@ -57,12 +59,7 @@ def _eval_grid_df(spark, sf_dir, samples=(100,)):
     pred = base.withColumn(
         "prediction", F.when(shifted < 0, F.lit(0.0)).otherwise(shifted)
     )
-    out = None
-    for k in KS:
-        m = evaluate_topk(
-            pred, val, k=k, relevant_min=4, config_cols=("variant", "shift", "sample")
-        ).withColumn("k", F.lit(k))
-        out = m if out is None else out.unionByName(m)
+    out = evaluate_cutoffs(pred, val, KS, relevant_min=4, config_cols=("variant", "shift", "sample"))
     return out.select(
         "variant",
         "sample",
@@ -126,12 +123,13 @@ def leaderboard(spark, sf_dir):
 
 
 def results_append(spark, sf_dir):
-    """Two runs appended to one results table, read back."""
+    """Two runs appended to one results table, the first of them twice, read back."""
     path = scratch_path(spark, "results")
     g = _eval_grid_df(spark, sf_dir).select("variant", "sample", "k", "shift", "rmse", "map")
-    for run in (1, 2):
-        TU.append_results(g.withColumn("run", F.lit(run)), path)
-    back = spark.read.parquet(path)
+    runs = g.withColumn("run", F.lit(1))
+    for run in (1, 2, 1):
+        TU.commit_results(g.withColumn("run", F.lit(run)), path, ["run", "variant", "sample", "k", "shift"])
+    back = TU.read_results(spark, path, runs.schema)
     return back.select("run", "variant", "sample", "k", "shift", r6("rmse"), r6("map"))
 
 
@@ -150,11 +148,16 @@ def results_headerless_scan(spark, sf_dir):
 #
 # Model scores have no SQL counterpart; what follows from the data alone has:
 # which pairs are scored, how many per configuration, and their coverage.  The
-# registered grids are cut to a few points and few iterations (the full ones
-# have 63, 35 and 10 points); the grids are arguments.
+# registered grids are cut to a few points and few iterations; the grid, its
+# ledger (``sink``) and the number of fits at a time are arguments.
 
 GRID = TU.als_grid([5], [10], [0.05, 0.1])
 LR_GRID = ([0.1, 0.2], [0.01])
+
+# The grids of the original study (fixed values): 63, 10 and 35 points.
+FULL_GRID = TU.als_grid([20], [8, 10, 12, 14, 16, 18, 20], [0.001, 0.01, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8, 1.0])
+FULL_REVIEW_GRID = TU.als_grid([20], [10, 20], [0.01, 0.05, 0.1, 0.2, 0.5])
+FULL_LR_GRID = ([0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5], [0.001, 0.01, 0.05, 0.1, 0.2])
 READ_UNREAD = MD.UNREAD_PARAMS
 
 
@@ -167,30 +170,39 @@ def _grid_rows(results, *more):
     )
 
 
-def grid_als(spark, sf_dir, grid=None):
+@contextmanager
+def _held(*tables):
+    """Tables that every point of a grid reads, cached while it runs."""
+    held = [TU.cached(t) for t in tables]
+    try:
+        yield held
+    finally:
+        for t in held:
+            t.unpersist()
+
+
+def grid_als(spark, sf_dir, grid=None, **ledger):
     train, val, _ = parts(spark, sf_dir)
-    scorer = TU.baseline_scorer(train, val)
-    return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, val, "baseline", "100"))
+    with _held(train, val) as (train, val):
+        scorer = TU.baseline_scorer(train, val)
+        return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, val, "baseline", "100", **ledger))
 
 
-def grid_als_read(spark, sf_dir, grid=None):
+def grid_als_read(spark, sf_dir, grid=None, **ledger):
     train, val, _ = parts(spark, sf_dir)
-    scorer = TU.read_scorer(train, val, READ_UNREAD)
-    return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, val, "read", "100"))
+    with _held(train, val) as (train, val):
+        scorer = TU.read_scorer(train, val, READ_UNREAD)
+        return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, val, "read", "100", **ledger))
 
 
-def _lr_results(spark, tr_f, va_f, regs, nets):
-    tr_f, va_f = TU.cached(tr_f), TU.cached(va_f)
-    try:
-        return TU.lr_grid(spark, tr_f, va_f, regs, nets, "100", k=25)
-    finally:
-        tr_f.unpersist()
-        va_f.unpersist()
+def _lr_results(spark, tr_f, va_f, regs, nets, **ledger):
+    with _held(tr_f, va_f) as (tr_f, va_f):
+        return TU.lr_grid(spark, tr_f, va_f, regs, nets, "100", k=25, **ledger)
 
 
-def grid_lr(spark, sf_dir, regs=LR_GRID[0], nets=LR_GRID[1]):
+def grid_lr(spark, sf_dir, regs=LR_GRID[0], nets=LR_GRID[1], **ledger):
     _, (tr_f, va_f, _) = _review_features(spark, sf_dir)
-    return _grid_rows(_lr_results(spark, tr_f, va_f, regs, nets), "net")
+    return _grid_rows(_lr_results(spark, tr_f, va_f, regs, nets, **ledger), "net")
 
 
 def _review_scorers(spark, sf_dir, variant):
@@ -212,21 +224,21 @@ def _review_scorers(spark, sf_dir, variant):
     return out
 
 
-def _review_grid(spark, sf_dir, variant, grid):
+def _review_grid(spark, sf_dir, variant, grid, **ledger):
     (scorer, pairs), _ = _review_scorers(spark, sf_dir, variant)
-    return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, pairs, variant, "100"))
+    return _grid_rows(TU.grid_search(spark, grid or GRID, scorer, pairs, variant, "100", **ledger))
 
 
-def grid_review_blend(spark, sf_dir, grid=None):
-    return _review_grid(spark, sf_dir, "review", grid)
+def grid_review_blend(spark, sf_dir, grid=None, **ledger):
+    return _review_grid(spark, sf_dir, "review", grid, **ledger)
 
 
-def grid_combined(spark, sf_dir, grid=None):
-    return _review_grid(spark, sf_dir, "combined", grid)
+def grid_combined(spark, sf_dir, grid=None, **ledger):
+    return _review_grid(spark, sf_dir, "combined", grid, **ledger)
 
 
-def _final(spark, variant, val, test, grid):
-    m = TU.tune_and_test(spark, grid or GRID, val, test, variant, "100")
+def _final(spark, variant, val, test, grid, **ledger):
+    m = TU.tune_and_test(spark, grid or GRID, val, test, variant, "100", **ledger)
     valid = (F.col("rmse") >= 0) & F.col("map").between(0, 1)
     return m.select(
         "variant", F.lit("test").alias("split"), "n_rows", "n_users", r6("coverage"), r6("map"),
