@@ -251,7 +251,7 @@ def search(vectors: DataFrame, id_col: str, vector_col: str, p: LshParams = LshP
 
 def neighbours(vectors: DataFrame, s: Search, id_col: str, vector_col: str) -> DataFrame:
     """(id, rank, neighbour, cosine, examined): the k nearest found of every vector, ties to the smaller id."""
-    k = s.params.k
+    k, kind = s.params.k, vectors.schema[id_col].dataType
     pairs = s.found.where(F.col("other").isNotNull()).groupBy("id", "other").agg(F.max("cosine").alias("cosine"))
     best = _top(pairs, k).drop("rank")
     own = s.points.select(F.col("rep").alias("id"), F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
@@ -266,5 +266,6 @@ def neighbours(vectors: DataFrame, s: Search, id_col: str, vector_col: str) -> D
     w = Window.partitionBy("_id").orderBy(F.col("cosine").desc(), "neighbour")
     ranked = every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.join(work.withColumnRenamed("id", "_w"), F.col("_rep") == F.col("_w"), "left").select(
-        F.col("_id").alias(id_col), "rank", "neighbour", "cosine", F.coalesce("examined", F.lit(0)).alias("examined")
+        F.col("_id").cast(kind).alias(id_col), "rank", F.col("neighbour").cast(kind).alias("neighbour"), "cosine",
+        F.coalesce("examined", F.lit(0)).alias("examined"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quire.registry import (
     aggregates,
+    extensions,
     joins,
     metrics,
     models,
@@ -17,7 +18,7 @@ from quire.registry import (
 )
 
 MODULES = (sources, scalar, joins, aggregates, windows, setops, split, text, metrics, models,
-           tuning)
+           tuning, extensions)
 
 
 def all_queries() -> dict:

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from quire.functions.columns import typed_interactions
 from quire.operators import blend as B
 from quire.operators import models as MD
-from quire.operators import text as T
 from quire.registry.common import parts, r6, sql_with
 from quire.registry.scalar import COLD_SQL, cold_item
-from quire.registry.text import token_lists_sql
+from quire.registry.text import review_features, token_lists_sql
 from quire.session import scratch_path
 from quire.sources import fixtures as FX
 
@@ -80,34 +79,9 @@ def read_union_scores(spark, sf_dir):
     return pred.select("user_id", "book_id", "is_read")
 
 
-def _review_feature_table(spark, sf_dir):
-    """Review features of all three parts by the training vocabulary, tagged by part."""
-    rev = FX.reviews(spark, sf_dir)
-    keys = ["user_id", "book_id", "rating"]
-    reviews = [
-        typed_interactions(p).join(rev, keys).select(*keys, "review_text")
-        for p in parts(spark, sf_dir)
-    ]
-    _, feats = T.feature_tables(*reviews)
-    tagged = [
-        f.withColumn("part", F.lit(p)) for f, p in zip(feats, ("train", "val", "test"), strict=True)
-    ]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-
-
 def _review_features(spark, sf_dir):
-    """(train, val, test) rows and their features.
-
-    Like the original's review feature Parquet files, the feature tables are
-    fitted and written once per application; every regression or blend query
-    reads pruned partitions of that table.
-    """
-    table = FX.staged(spark, sf_dir, "review-features", _review_feature_table,
-                      partition_by="part")
-    feats = tuple(
-        table.where(F.col("part") == p).drop("part") for p in ("train", "val", "test")
-    )
-    return parts(spark, sf_dir), feats
+    """(train, val, test) rows and their features."""
+    return parts(spark, sf_dir), review_features(spark, sf_dir)
 
 
 def read_features(feats, rows):

@@ -41,16 +41,23 @@ def staged(spark: SparkSession, sf_dir: str, name: str, build,
     lives in the shared folder (``spark.checkpoint.dir``), so it also cuts
     lineage: a lost executor re-reads files instead of re-running the join.
     """
+
+    def write(path: str) -> None:
+        writer = build(spark, sf_dir).write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+    return spark.read.parquet(staged_path(spark, sf_dir, name, write))
+
+
+def staged_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Where a table of this application is staged; ``write(path)`` makes it the first time."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, f"fixture-{name}")
-        writer = build(spark, sf_dir).write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+        write(path)
         _STAGED[key] = path
-    return spark.read.parquet(path)
+    return path
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ FITTING = {
     "lr_elastic_net", "lr_single_feature", "review_scores", "review_blend_scores",
     "combined_scores", "recommend_all_items", "map_all_items", "model_roundtrip", "grid_als",
     "grid_als_read", "grid_lr", "grid_review_blend", "grid_combined", "final_eval",
+    "cold_start", "cold_start_pairs", "item_neighbours", "neighbour_curve", "implicit_ranking",
     "feature_tables", "final_eval_read", "final_eval_review", "final_eval_combined",
 }
 
