@@ -8,7 +8,7 @@ combined variants.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, fields, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -33,10 +33,18 @@ class ALSParams:
     implicit: bool = False
     alpha: float = 1.0
     checkpoint_interval: int = 10
-    #: user and item blocks.  Spark seeds the factors per block, so the fitted model
-    #: depends on it: a constant, not the cluster's size (10 is Spark's default)
+    #: user and item blocks, the tasks of a half-iteration.  Spark seeds the factors per
+    #: block, so the fitted model depends on it: it is a parameter that is kept with the
+    #: model, not the cluster's size (10 is Spark's default; see ``sized_for``)
     blocks: int = 10
 
+    def sized_for(self, n_ratings: int, per_block: int = 2_000_000) -> ALSParams:
+        """With as many blocks as the ratings need, ``per_block`` of them in each, 10 at least.
+
+        Depends on the data's size alone: the same on any cluster.
+        """
+        return replace(self, blocks=max(10, -(-n_ratings // per_block)))
+
 
 UNREAD_PARAMS = ALSParams(max_iter=5, rank=10, reg=0.0)
 
@@ -85,6 +93,25 @@ def score(model: ALSModel, pairs: DataFrame, out: str = "prediction") -> DataFra
     return pred if out == "prediction" else pred.withColumnRenamed("prediction", out)
 
 
+def save_als(model: ALSModel, params: ALSParams, path: str) -> None:
+    """The model and the parameters it was fitted with."""
+    spark = model.userFactors.sparkSession
+    model.write().overwrite().save(f"{path}/model")
+    row = spark.createDataFrame([tuple(asdict(params).values())], _params_schema())
+    row.write.mode("overwrite").parquet(f"{path}/params")
+
+
+def load_als(spark, path: str) -> tuple[ALSModel, ALSParams]:
+    """What ``save_als`` wrote."""
+    row = spark.read.schema(_params_schema()).parquet(f"{path}/params").first()
+    return ALSModel.load(f"{path}/model"), ALSParams(**row.asDict())
+
+
+def _params_schema() -> str:
+    kinds = {"int": "int", "float": "double", "bool": "boolean", "str": "string"}
+    return ", ".join(f"{f.name} {kinds[f.type]}" for f in fields(ALSParams))
+
+
 def scorable_pairs(pairs: DataFrame, train: DataFrame,
                    user_col: str = "user_id", item_col: str = "book_id") -> DataFrame:
     """The pairs a model fitted on ``train`` can score: user and item both seen."""

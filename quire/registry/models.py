@@ -9,7 +9,6 @@ queries are registered without an oracle.
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from quire.functions.columns import typed_interactions
@@ -183,12 +182,15 @@ def map_all_items(spark, sf_dir, k: int = 500):
 
 
 def model_roundtrip(spark, sf_dir):
-    """Save the fitted model to the shared folder, load it, and compare scores."""
+    """Save the fitted model and its parameters to the shared folder, load them, and compare scores."""
     train, val, _ = parts(spark, sf_dir)
-    model = MD.fit_als(train, PARAMS)
+    params = PARAMS.sized_for(train.count())
+    model = MD.fit_als(train, params)
     path = scratch_path(spark, "als-model")
-    model.write().overwrite().save(path)
-    loaded = ALSModel.load(path)
+    MD.save_als(model, params, path)
+    loaded, kept = MD.load_als(spark, path)
+    if kept != params:
+        raise ValueError("the model came back with other parameters")
     a = MD.score(model, val, "p1").select("user_id", "book_id", "p1")
     b = MD.score(loaded, val, "p2").select("user_id", "book_id", "p2")
     return a.join(b, ["user_id", "book_id"]).select(

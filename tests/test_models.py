@@ -9,6 +9,7 @@ import __spark_entry__ as E
 from quire.operators import blend as B
 from quire.operators import models as MD
 from quire.operators import split as S
+from quire.session import scratch_path
 from quire.sources import fixtures as FX
 from tests.conftest import SF_SMALL
 
@@ -117,3 +118,19 @@ def test_evaluate_matches_spark_evaluators(spark, parts):
     truth = val.where("rating >= 4").groupBy("user_id").agg(F.collect_set("book_id").alias("t"))
     pairs = lists.join(truth, "user_id").select("pred", "t").rdd.map(lambda r: (r[0], r[1]))
     assert got.map == pytest.approx(RankingMetrics(pairs).meanAveragePrecision, abs=1e-12)
+
+
+def test_blocks_follow_the_ratings_and_stay_with_the_model(spark, parts):
+    train, val, _ = parts
+    base = MD.ALSParams(max_iter=2, rank=3)
+    assert base.sized_for(5).blocks == 10 and base.sized_for(10**9).blocks == 500
+    assert base.sized_for(1200, per_block=100).blocks == 12
+    params = base.sized_for(train.count(), per_block=200)
+    assert params.blocks > 10
+    model = MD.fit_als(train, params)
+    path = scratch_path(spark, "als-test")
+    MD.save_als(model, params, path)
+    loaded, kept = MD.load_als(spark, path)
+    assert kept == params
+    a, b = MD.score(model, val, "a"), MD.score(loaded, val, "b")
+    assert a.join(b, ["user_id", "book_id"]).where("abs(a - b) > 1e-6").count() == 0
