@@ -33,7 +33,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -65,8 +67,8 @@ class AlignParams:
     #: vectors that a node of the tree adds, and tasks' reports in a leaf
     fan: int = 8
     #: distinct units, and bytes of them, that a task remembers
-    remember: int = 400_000
-    remember_bytes: int = 32 << 20
+    remember: int = 800_000
+    remember_bytes: int = 64 << 20
 
 
 # -- tokenizers --------------------------------------------------------------------
@@ -79,6 +81,24 @@ def _byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+#: the split of byte-level BPE into words (fixed value)
+_SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: ASCII and Latin letters, and no character four times in a row
+_USUAL = re.compile("(?!.*(.)\\1{3})[\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u024f]+", re.DOTALL).fullmatch
+
+
+def _ranked(model: dict, surface: list[bytes]):
+    """The merges as ranks of their results; None where the ids do not rise with the merges."""
+    import tiktoken
+
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [model["vocab"][a + b] for a, b in pairs]
+    if made != sorted(set(made)) or made[0] <= max(i for i, x in enumerate(surface) if len(x) == 1):
+        return None
+    ranks = {surface[i]: i for i in [*made, *(i for i, x in enumerate(surface) if len(x) == 1)]}
+    return tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.array([len(x) for x in parts], dtype=np.int64)
     return np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(size) - size, size
@@ -100,6 +120,7 @@ class Tokenizers:
         for token, i in self.a.get_vocab().items():
             surface[i] = bytes(signs[c] for c in token) if all(c in signs for c in token) else token.encode()
         self.a_bytes = _flat(surface)
+        self.a_ranks = _ranked(json.loads(a_json)["model"], surface)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces):
             raise ValueError("a piece goes on into a space after a word")
@@ -108,17 +129,23 @@ class Tokenizers:
         )
 
     def encode_a(self, units: list[str], size: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units in order, and each unit's number of them; ``plain``: may be encoded joined."""
+        """Ids of all units in order, and each unit's number of them; ``plain``: may be encoded joined.
+
+        Units of letters that every version of the character tables knows go
+        through the merges by rank, which is several times faster than the
+        tokenizer's own encoding and gives the same ids; the others go through that.
+        """
+        if self.a_ranks is not None:
+            plain = plain & np.fromiter((_USUAL(u) is not None for u in units), dtype=bool, count=len(units))
         order = np.argsort(~plain, kind="stable")
         n_plain = int(plain.sum())
-        joined = ["".join(units[i] for i in order[k : min(k + 512, n_plain)]) for k in range(0, n_plain, 512)]
-        texts = joined + [units[i] for i in order[n_plain:]]
-        ids = np.fromiter(
-            itertools.chain.from_iterable(
-                e.ids for k in range(0, len(texts), 64) for e in self.a.encode_batch(texts[k : k + 64], add_special_tokens=False)
-            ),
-            dtype=np.int32,
+        joined = ["".join([units[i] for i in order[k : min(k + 512, n_plain)].tolist()]) for k in range(0, n_plain, 512)]
+        alone = [units[i] for i in order[n_plain:].tolist()]
+        own = lambda texts: (
+            e.ids for k in range(0, len(texts), 64) for e in self.a.encode_batch(texts[k : k + 64], add_special_tokens=False)
         )
+        by_rank = map(self.a_ranks.encode_ordinary, joined) if self.a_ranks is not None else own(joined)
+        ids = np.fromiter(itertools.chain.from_iterable(itertools.chain(by_rank, own(alone))), dtype=np.int32)
         # tokens end where units end: the byte lengths tell whose they are
         ends = np.cumsum(self.a_bytes[2][ids])
         upto = np.searchsorted(ends, np.cumsum(size[order]), side="right")
