@@ -24,14 +24,38 @@ tg as (
     (source_size + 31) // 32 as blocks from cp
 ),
 sl as (select *, case when source_size > 0 then cast(floor(target * blocks / source_size + 0.5) as bigint) else 0 end as slots from tg),
+cum as (select idx, slots, sum(slots) over (order by idx) - slots as lo, sum(slots) over (order by idx) as hi from sl),
+tot as (select cast(sum(slots) as bigint) as t from sl),
 draw as (
-  select idx, blocks, j // blocks as turn, j % blocks as i
-  from (select idx, blocks, unnest(range(0, slots)) as j from sl where slots > 0)
+  select id // 4096 as shard, cast('0x' || substr(md5(concat('draw:7:', id)), 1, 15) as bigint) % t as pick
+  from (select t, unnest(range(0, t)) as id from tot)
+),
+cnt as (select shard, idx, count(*) as n from draw join cum on pick >= lo and pick < hi group by all),
+strt as (select *, sum(n) over (partition by idx order by shard) - n as start from cnt),
+had as (select sl.idx, slots, coalesce(sum(n), 0) as had from sl left join cnt using (idx) group by all),
+moves as (
+  select idx, slots, had, sum(greatest(had - slots, 0)) over w - greatest(had - slots, 0) as extra_at,
+    sum(greatest(slots - had, 0)) over w - greatest(slots - had, 0) as short_at, sum(greatest(slots - had, 0)) over w as short_to
+  from had window w as (order by idx)
+),
+each as (select shard, idx, unnest(range(cast(start as bigint), cast(start + n as bigint))) as slot from strt),
+fin as (
+  select shard, idx, slot from each join moves using (idx) where slot < slots
+  union all
+  select e.shard, d.idx, cast(d.had + m.extra_at + e.slot - m.slots - d.short_at as bigint)
+  from each e join moves m on e.idx = m.idx and e.slot >= m.slots
+  join moves d on m.extra_at + e.slot - m.slots >= d.short_at and m.extra_at + e.slot - m.slots < d.short_to
+),
+perm as (
+  select idx, turn, block, row_number() over (partition by idx, turn
+    order by md5(concat('order:7:', idx, ':', turn, ':', block)), block) - 1 as i
+  from (select idx, turn, unnest(range(0, blocks)) as block
+        from (select idx, blocks, unnest(range(0, (slots - 1) // blocks + 1)) as turn from sl where slots > 0))
 ),
 blk as (
-  select idx, (((i + (idx * 7919 + turn * 104729 + 1) % blocks) % blocks)
-               * [2147483647, 2147483629, 2147483587, 2147483579][(idx + turn) % 4 + 1]) % blocks as block, count(*) as times
-  from draw group by 1, 2
+  select idx, block, count(*) as times
+  from (select idx, slot // blocks as turn, slot % blocks as i from fin join sl using (idx)) join perm using (idx, turn, i)
+  group by all
 ),
 pos as (
   select s.doc_id, size, idx, source_size, target,

@@ -2,19 +2,27 @@
 
 Each source's documents, in a pseudorandom order, form one stream of words,
 packed into blocks of ``block_words``.  A source's target gives its number of
-slots.  Every output shard draws how many of its slots go to each source
-(multinomial, seeded by the shard's number); slots a source drew beyond its
-number are dealt, in closing shards, to the sources that drew too few, so each
-source fills exactly its number.  The j-th slot of a source is mapped through a
-permutation of the source's block indexes (a fresh one for each pass over the
-source) and joined with the block of that index.  A source fills at most two
+slots.  The mix is a sequence of output shards of ``shard_slots`` positions.  Every
+position draws its source with probability in proportion to the slots, so a
+shard's counts are multinomial.  A source's slots are numbered through the
+shards; a position whose source is drawn more often than it has slots goes to
+a source that was drawn too rarely (the k-th such position to the k-th missing
+slot), so each source fills exactly its number.  The j-th slot of a source is
+mapped through a pseudorandom permutation of the source's block indexes, a new
+one for each pass over the source (the rank of a block's hash among the
+source's), and joined with the block of that index.  A source fills at most two
 passes, so no word is taken more than twice.
 
+``mixed_blocks`` is the mix in its order: shard, position, source and block.
+
 Defined results: null text has size 0; a null source is a source of its own,
-last in order; a null doc_id is a document like others; repeated rows are
-documents of their own; documents of size 0 are taken 0 words; without any
-words all targets are 0.  Reruns agree: every draw depends on the seed and the
-data alone, not on partitions.
+last in order; documents with a null doc_id are ordered by their texts' hashes;
+repeated rows are documents of their own; documents of size 0 are taken 0
+words; texts of any length are cut at blocks; without any words all targets are
+0; an empty table gives an empty result; other columns, whatever their names,
+are only carried along.  Reruns agree: every draw depends on the seed and the
+data alone, not on partitions.  Another seed gives another mix of the same
+totals.
 """
 
 from __future__ import annotations
@@ -23,19 +31,14 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.llm import textkit as tk
 from quire.llm.common import WORD, written
 
-# Primes below 2**31, so prime to any smaller number of blocks.
-_PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
-
 
 @dataclass(frozen=True)
 class MixParams:
@@ -102,7 +105,8 @@ def document_offsets(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     prefix and running sums inside a prefix, so no task sorts a whole source.
     """
     t = targets.select("idx", "source", "source_size", "target").alias("t")
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.col("text_key").cast("string")))
+    key = F.md5(named.cast("binary"))
     rows = (
         sizes.alias("s")
         .join(t, F.col("s.source").eqNullSafe(F.col("t.source")))
@@ -125,61 +129,116 @@ def document_offsets(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+#: shards, and blocks, whose numbers are worked out together
+_SHARDS, _BLOCKS = 1024, 1 << 16
+
+
+def _hash(*parts) -> Column:
+    """60 bits of a hash of the parts, the same in SQL."""
+    text = F.concat_ws(":", *[(F.lit(x) if isinstance(x, (str, int)) else x).cast("string") for x in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
 def shard_counts(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
-    """shard, idx, start, n: how many slots of a source a shard holds and the first one's number."""
+    """shard, idx, n, start: the multinomial counts of every shard, and the number of the first slot.
+
+    A position's source is found by a table of cells: a cell lists the sources
+    whose range of slots reaches into it, one or two of them.  Slots are numbered
+    by sums over groups of shards and inside a group, so no task sees all shards
+    of a source.
+    """
     spark = targets.sparkSession
-    by_idx = sorted((r["idx"], r["slots"]) for r in targets.select("idx", "slots").filter("slots > 0").collect())
-    idx, slots = [x[0] for x in by_idx], np.array([x[1] for x in by_idx], dtype=np.float64)
-    total = int(slots.sum())
-    shards = -(-total // p.shard_slots)
-    share = slots / max(1.0, slots.sum())
-
-    def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard in frame["id"]:
-                size = min(p.shard_slots, total - shard * p.shard_slots)
-                n = np.random.default_rng([p.seed, int(shard)]).multinomial(size, share)
-                some = np.flatnonzero(n)
-                yield pd.DataFrame({"shard": shard, "idx": [idx[i] for i in some], "n": n[some]})
-
-    drawn = spark.range(shards).mapInPandas(draw, "shard long, idx int, n long")
-    running = W.partitionBy("idx").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    drawn = drawn.withColumn("start", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    bounds = targets.select("idx", "slots")
-    kept = drawn.join(bounds, "idx").withColumn("n", F.least("n", F.col("slots") - F.col("start"))).filter("n > 0")
-    short = (
-        bounds.join(drawn.groupBy("idx").agg(F.sum("n").alias("had")), "idx", "left")
-        .withColumn("start", F.coalesce("had", F.lit(0)))
-        .filter("start < slots")
-        .select(
-            F.lit(shards).cast("long").alias("shard"),
-            "idx",
-            "start",
-            (F.col("slots") - F.col("start")).alias("n"),
-        )
+    total, sources = targets.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
+    if not total:
+        return spark.createDataFrame([], "shard long, idx int, n long, start long")
+    cells = max(4096, 4 * sources)
+    upto = F.sum("slots").over(W.orderBy("idx"))
+    ranges = targets.filter("slots > 0").select("idx", (upto - F.col("slots")).alias("lo"), upto.alias("hi"))
+    cell = lambda at: F.floor(at * F.lit(cells) / F.lit(total)).cast("long")
+    # one cell more on either side than rounding could miss
+    reach = F.sequence(cell(F.col("lo")) - 1, cell(F.col("hi")) + 1)
+    guide = ranges.select("idx", "lo", "hi", F.explode(reach).alias("cell"))
+    drawn = spark.range(total).select(
+        F.floor(F.col("id") / p.shard_slots).cast("long").alias("shard"),
+        F.pmod(_hash("draw", p.seed, F.col("id")), F.lit(total)).alias("at"),
+    )
+    chosen = drawn.withColumn("cell", cell(F.col("at"))).join(guide, "cell").filter("at >= lo and at < hi")
+    counts = written(chosen.groupBy("shard", "idx").agg(F.count("*").alias("n")), "mix-counts")
+    grouped = counts.withColumn("group", F.floor(F.col("shard") / _SHARDS))
+    sums = grouped.groupBy("idx", "group").agg(F.sum("n").alias("words"))
+    before = lambda *keys: W.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(W.unboundedPreceding, -1)
+    base = sums.select("idx", "group", F.coalesce(F.sum("words").over(before("idx", "group")), F.lit(0)).alias("base"))
+    inner = F.coalesce(F.sum("n").over(before("idx", "group", "shard")), F.lit(0))
+    placed = grouped.withColumn("inner", inner).join(base, ["idx", "group"])
+    return placed.select("shard", "idx", "n", (F.col("base") + F.col("inner")).alias("start"))
+
+
+def slots(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
+    """shard, idx, slot: every position of the mix; each source has its slots 0..n-1 once."""
+    counts = shard_counts(targets, p)
+    had = counts.groupBy("idx").agg(F.sum("n").alias("had"))
+    off = targets.select("idx", "slots").join(had, "idx", "left").select(
+        "idx", "slots", F.coalesce("had", F.lit(0)).alias("had")
+    )
+    extra, short = F.greatest(F.col("had") - F.col("slots"), F.lit(0)), F.greatest(F.col("slots") - F.col("had"), F.lit(0))
+    first = lambda c: F.sum(c).over(W.orderBy("idx")) - c
+    off = off.select("idx", "slots", "had", first(extra).alias("extra_at"), short.alias("short"), first(short).alias("short_at"))
+    missing = off.filter("short > 0").select(
+        F.col("idx").alias("to"), "had", F.posexplode(F.sequence(F.col("short_at"), F.col("short_at") + F.col("short") - 1)).alias("j", "k")
     )
-    return kept.select("shard", "idx", "start", "n").unionByName(short)
+    # shards are dealt out before their positions are listed
+    dealt = counts.join(off.select("idx", "slots", "extra_at"), "idx").repartition("shard")
+    each = dealt.select(
+        "shard", "idx", "slots", "extra_at", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot")
+    )
+    own = each.filter("slot < slots").select("shard", "idx", "slot")
+    over = each.filter("slot >= slots").withColumn("k", F.col("extra_at") + F.col("slot") - F.col("slots"))
+    moved = over.join(missing, "k").select("shard", F.col("to").alias("idx"), (F.col("had") + F.col("j")).alias("slot"))
+    return own.unionByName(moved)
+
 
+def block_order(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
+    """idx, turn, i, block: for each pass over a source, its blocks in a pseudorandom order.
 
-def _permuted(slot, blocks, idx):
-    """Block index of a source's slot: an affine permutation per source and pass."""
-    turn = F.floor(slot / blocks)
-    prime = F.element_at(
-        F.array(*[F.lit(x).cast("long") for x in _PRIMES]), ((idx + turn) % len(_PRIMES) + 1).cast("int")
+    The place of a block is the rank of its hash: blocks with smaller hash
+    prefixes, counted by prefix, and those before it inside its prefix.
+    """
+    some = targets.filter("slots > 0")
+    passes = F.floor((F.col("slots") - 1) / F.col("blocks"))
+    parts = F.floor((F.col("blocks") - 1) / _BLOCKS)
+    chunks = some.select("idx", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), passes)).alias("turn")).select(
+        "idx", "blocks", "turn", F.explode(F.sequence(F.lit(0).cast("long"), parts)).alias("part")
+    )
+    last = F.least(F.col("blocks"), (F.col("part") + 1) * _BLOCKS) - 1
+    rows = chunks.repartition("idx", "turn", "part").select(
+        "idx", "turn", F.explode(F.sequence(F.col("part") * _BLOCKS, last)).alias("block")
     )
-    shift = (idx * 7919 + turn * 104729 + 1) % blocks
-    return F.when(blocks >= _PRIMES[-1], F.raise_error(F.lit("raise block_words: a source has too many blocks"))).otherwise(
-        ((slot % blocks + shift) % blocks * prime) % blocks
+    text = F.concat_ws(":", F.lit("order"), F.lit(p.seed), F.col("idx"), F.col("turn"), F.col("block"))
+    keyed = rows.withColumn("key", F.md5(text.cast("binary"))).withColumn("prefix", F.substring("key", 1, 4))
+    counts = keyed.groupBy("idx", "turn", "prefix").agg(F.count("*").alias("n"))
+    before = W.partitionBy("idx", "turn").orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("idx", "turn", "prefix", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("idx", "turn", "prefix").orderBy("key", "block")) - 1
+    return keyed.withColumn("inside", inside).join(offsets, ["idx", "turn", "prefix"]).select(
+        "idx", "turn", (F.col("before") + F.col("inside")).alias("i"), "block"
     )
 
 
-def slots(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
-    """shard, idx, slot, block: the whole mix by index."""
-    counts = shard_counts(targets, p).withColumn(
-        "slot", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1))
+def slot_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
+    """shard, idx, slot, block: every position of the mix with the block that fills it."""
+    turn = F.floor(F.col("slot") / F.col("blocks"))
+    numbered = slots(targets, p).join(targets.select("idx", "blocks"), "idx").select(
+        "shard", "idx", "slot", turn.alias("turn"), (F.col("slot") % F.col("blocks")).alias("i")
     )
-    return counts.join(targets.select("idx", "blocks"), "idx").select(
-        "shard", "idx", "slot", _permuted(F.col("slot"), F.col("blocks"), F.col("idx")).cast("long").alias("block")
+    return numbered.join(block_order(targets, p), ["idx", "turn", "i"]).select("shard", "idx", "slot", "block")
+
+
+def mixed_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
+    """shard, position, source, idx, block: the mix in its order; positions from 0 in each shard."""
+    placed = slot_blocks(targets, p).withColumn("key", _hash("place", p.seed, F.col("idx"), F.col("slot")))
+    position = F.row_number().over(W.partitionBy("shard").orderBy("key", "idx", "slot")) - 1
+    return placed.withColumn("position", position).join(targets.select("idx", "source"), "idx").select(
+        "shard", "position", "source", "idx", "block"
     )
 
 
@@ -198,7 +257,7 @@ def _taken(docs: DataFrame, p: MixParams) -> tuple[DataFrame, DataFrame]:
     sizes = document_sizes(docs)
     targets = source_targets(sizes, p)
     offsets = written(document_offsets(sizes, targets), "mix-offsets")
-    times = slots(targets, p).groupBy("idx", "block").agg(F.count("*").alias("times"))
+    times = slot_blocks(targets, p).groupBy("idx", "block").agg(F.count("*").alias("times"))
     return offsets, pieces(offsets, p).join(times, ["idx", "block"])
 
 

@@ -50,19 +50,72 @@ def test_targets_and_taken_words(spark, p):
     assert sorted(first, key=str) == sorted(again, key=str)
 
 
-def test_shards_draw_all_slots_once(spark):
-    rows = messy_rows()
+def mixed(spark, rows, p):
+    t = m.source_targets(m.document_sizes(documents(spark, rows)), p)
+    return {r.idx: r for r in t.collect()}, t
+
+
+def test_slots_blocks_and_shards(spark):
+    """Each source fills its slots once, a pass is a permutation of its blocks, shards hold their positions."""
     p = m.MixParams(block_words=8, shard_slots=64)
-    sizes = m.document_sizes(documents(spark, rows))
-    t = m.source_targets(sizes, p)
-    want = {r.idx: r for r in t.collect()}
-    out = collections.defaultdict(list)
-    for r in m.slots(t, p).collect():
+    want, t = mixed(spark, messy_rows(), p)
+    out, shards = collections.defaultdict(list), collections.Counter()
+    for r in m.slot_blocks(t, p).collect():
         out[r.idx].append((r.slot, r.block))
+        shards[r.shard] += 1
+    total = sum(r.slots for r in want.values())
+    assert shards == {k: min(64, total - 64 * k) for k in range(-(-total // 64))}
     for i, r in want.items():
         assert sorted(x for x, _ in out[i]) == list(range(r.slots))
-        first = [b for x, b in out[i] if x < r.blocks]
-        assert len(set(first)) == len(first) and all(0 <= b < r.blocks for b in first)
+        for turn in range(2):
+            got = [b for x, b in out[i] if x // r.blocks == turn]
+            assert len(set(got)) == len(got) and all(0 <= b < r.blocks for b in got)
+    big = max(want, key=lambda i: want[i].blocks)
+    order = [b for _, b in sorted(out[big])[: want[big].blocks]]
+    steps = {(y - x) % want[big].blocks for x, y in zip(order, order[1:])}
+    assert len(steps) > len(order) // 3  # no fixed stride
+
+
+def test_counts_of_shards_are_multinomial_draws(spark):
+    """Chi-squared of the shards' counts against the shares is what it is for independent draws."""
+    rows = [(k, " ".join(["w"] * 4000), s) for k, s in enumerate("abcaab")]
+    p = m.MixParams(block_words=4, shard_slots=50)
+    want, t = mixed(spark, rows, p)
+    total = sum(r.slots for r in want.values())
+    counts = m.shard_counts(t, p).collect()
+    n = collections.Counter()
+    for r in counts:
+        n[r.shard, r.idx] += r.n
+    full = total // 50
+    chi = sum(
+        (n[k, i] - 50 * r.slots / total) ** 2 / (50 * r.slots / total) for k in range(full) for i, r in want.items()
+    )
+    freedom = full * (len(want) - 1)
+    assert abs(chi - freedom) < 5 * (2 * freedom) ** 0.5
+    for i in want:  # slots are numbered through the shards
+        runs = sorted((r.start, r.n, r.shard) for r in counts if r.idx == i)
+        assert [x[2] for x in runs] == sorted(x[2] for x in runs)
+        assert all(a[0] + a[1] == b[0] for a, b in zip(runs, runs[1:])) and runs[0][0] == 0
+
+
+def test_another_seed_is_another_mix_of_the_same_totals(spark):
+    rows = [r for r in messy_rows() if len(r[1] or "") < 100_000]
+    out = []
+    for seed in (7, 8):
+        p = m.MixParams(block_words=8, shard_slots=16, seed=seed)
+        _, t = mixed(spark, rows, p)
+        blocks = sorted(tuple(r) for r in m.mixed_blocks(t, p).select("shard", "position", "idx", "block").collect())
+        assert [x[1] for x in blocks if x[0] == 0] == list(range(16))
+        check(rows, m.mix(documents(spark, rows), p).collect(), p)
+        out.append(blocks)
+    per_source = [collections.Counter(x[2] for x in blocks) for blocks in out]
+    assert per_source[0] == per_source[1] and out[0] != out[1]
+    assert [x[2] for x in out[0]] != [x[2] for x in out[1]]
+
+
+def test_many_sources_and_null_ids(spark):
+    rows = [(None, f"a b c {k}", f"s{k % 300}") for k in range(900)] + [(1, "one two three", None)]
+    check(rows, m.mix(documents(spark, rows)).collect(), m.PARAMS)
 
 
 def test_mixed_documents_hold_the_taken_words(spark):
