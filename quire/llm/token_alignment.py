@@ -84,7 +84,7 @@ def _byte_of_sign() -> dict[str, int]:
 #: the split of byte-level BPE into words (fixed value)
 _SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: ASCII and Latin letters, and no character four times in a row
-_USUAL = re.compile("(?!.*(.)\\1{3})[\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u024f]+", re.DOTALL).fullmatch
+_USUAL = re.compile("(?!.*(.)\\1{3})[\n\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u024f]+", re.DOTALL).fullmatch
 
 
 def _ranked(model: dict, surface: list[bytes]):
