@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quire.operators import metrics as M
@@ -71,6 +73,16 @@ def map_at_k(spark, sf_dir):
     return _metrics(spark, sf_dir).select(r6("map_at_k"), "n_users")
 
 
+CUTOFFS = (1, 3, 5, 10, 25)
+
+
+def metrics_at_cutoffs(spark, sf_dir):
+    """MAP, precision, recall and NDCG at several cutoffs from one top-k."""
+    _, val, _ = parts(spark, sf_dir)
+    out = M.ranking_curve(_top_positions(val, max(CUTOFFS)), _relevant(val), CUTOFFS)
+    return out.select("k", *[r6(c) for c in ("map_at_k", "precision_at_k", "recall_at_k", "ndcg_at_k")], "n_users")
+
+
 def get_map(spark, sf_dir):
     """Held-out-candidate protocol: rank <= k over held-out pairs vs all held-out pairs."""
     _, val, _ = parts(spark, sf_dir)
@@ -99,6 +111,7 @@ QUERIES = {
     "recall_at_k": recall_at_k,
     "ndcg_at_k": ndcg_at_k,
     "map_at_k": map_at_k,
+    "metrics_at_cutoffs": metrics_at_cutoffs,
     "coverage": coverage,
 }
 
@@ -142,7 +155,23 @@ def _metric_sql(expr: str, name: str) -> str:
     )
 
 
+def _cutoffs_sql() -> str:
+    """The per-user CTEs of each cutoff under names of their own."""
+    extra, rows = {}, []
+    names = ("top", "rel", "nt", "np", "hits", "ideal", "per_user")
+    for k in CUTOFFS:
+        for name, q in _ranking_ctes(k).items():
+            for other in names:
+                q = re.sub(rf"\b(from|join) {other}\b", rf"\1 {other}_{k}", q)
+            extra[f"{name}_{k}"] = q.replace("ideal.", f"ideal_{k}.").replace("nt.", f"nt_{k}.")
+        rows.append(f"""select {k} as k, round(avg(apk), 6) as map_at_k, round(avg(pk), 6) as precision_at_k,
+                               round(avg(rk), 6) as recall_at_k, round(avg(ndcg), 6) as ndcg_at_k, count(*) as n_users
+                        from per_user_{k}""")
+    return sql_with(" union all ".join(rows), "val_scored", extra=extra)
+
+
 ORACLE = {
+    "metrics_at_cutoffs": _cutoffs_sql(),
     "rmse_topk": sql_with(
         f"""select round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as rmse,
                    count(*) as n

@@ -99,3 +99,19 @@ def test_no_truth_and_no_predictions(spark):
     assert EV.evaluate_cutoffs(empty, h, (3,), config_cols=("cfg",)).collect() == []
     one = EV.evaluate_topk(empty.drop("cfg"), h, 3).first()
     assert one is None or one.n_users == 1
+
+
+def test_ranking_curve_equals_one_cutoff_at_a_time(spark):
+    from quire.operators import metrics as M
+
+    rng = random.Random(9)
+    pred = [(u, b, p) for u in range(15) for p, b in enumerate(rng.sample(range(60), rng.randrange(1, 20)), 1)]
+    pred += [(1, 7, 3)] * 2  # an item listed again
+    truth = [(u, b) for u in range(3, 18) for b in rng.sample(range(60), rng.randrange(1, 15))]
+    p = spark.createDataFrame(pred, "user_id int, book_id int, row_num int")
+    t = spark.createDataFrame(truth + truth[:5], "user_id int, book_id int")
+    names = ("map_at_k", "precision_at_k", "recall_at_k", "ndcg_at_k", "n_users")
+    curve = {r.k: [r[c] for c in names] for r in M.ranking_curve(p, t, (1, 2, 5, 40)).collect()}
+    for k in (1, 2, 5, 40):
+        one = M.ranking_metrics(p, t, k).first()
+        assert curve[k] == pytest.approx([one[c] for c in names])
