@@ -13,14 +13,16 @@ the bucket's members are compared with its most central member (the one whose
 buckets are largest); confirmed links are closed into components.  What is then
 left, buckets with several components, goes on by an exact bound: a document
 whose shingles are too often found in no other candidate cannot reach the
-threshold with anyone.  The survivors are compared once more with a centre and
-the rest across components where a second exact bound, from counts of shingles
-by their first bits, allows a link; no candidate link is given up.
+threshold with anyone.  The survivors are compared once more with a centre; the
+rest meet across components at the shingles that few of them hold, where a
+linked pair must meet (``prefix_pairs``).  No bucket is joined with itself, and
+no candidate link is given up.
 
 Defined results: null or wordless texts have an empty set and are linked with
 nothing; a null doc_id has no component (null) and is kept; rows that share a
-doc_id are one document with several texts; only ``doc_id`` and ``text`` are
-looked at, other columns may have any name.
+doc_id are one document with several texts; texts of any length are read whole;
+an empty table gives an empty result; only ``doc_id`` and ``text`` are looked at,
+other columns may have any name.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm import textkit as tk
@@ -51,8 +53,6 @@ class NearDupParams:
 
 
 PARAMS = NearDupParams()
-_CELLS = 128
-_CELL_SHIFT = np.uint64(57)
 
 
 def fast_sketch(elements: np.ndarray, first: np.ndarray, bins: int, seed: int) -> np.ndarray:
@@ -122,12 +122,7 @@ def _set_batches(size: int):
                 words, first = tk.word_hashes(tk.LOWER[buf], starts)
                 sets, at = tk.shingle_sets(words, first, size)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
-                cell = np.repeat(np.arange(hi - lo), np.diff(at)) * _CELLS + (sets >> _CELL_SHIFT).astype(np.int64)
-                counts = np.bincount(cell, minlength=(hi - lo) * _CELLS).astype(np.int32)
-                counts = pa.FixedSizeListArray.from_arrays(pa.array(counts), _CELLS).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), lists, counts], names=["doc", "shingles", "cells"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["doc", "shingles"])
 
     return run
 
@@ -140,14 +135,10 @@ def sketches(docs: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
-    """doc, shingles, cells: full shingle sets of the documents in ``wanted`` (column doc).
-
-    ``cells`` counts a set's shingles by their first bits; two sets have at most
-    the sum of their cells' minima in common.
-    """
+    """doc, shingles: full shingle sets of the documents in ``wanted`` (column doc)."""
     some = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string"))
     return some.join(wanted.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        tk.frugal(_set_batches(p.shingle)), "doc long, shingles array<long>, cells array<int>"
+        tk.frugal(_set_batches(p.shingle)), "doc long, shingles array<long>"
     )
 
 
@@ -244,22 +235,11 @@ def find_components(docs: DataFrame, p: NearDupParams = PARAMS) -> tuple[DataFra
     found = written(confirmed(pairs, sets, p).unionByName(tied), "neardup-links")
     comps = components(found, "neardup-1")
 
-    # buckets that still hold several components; then the exact bound on unshared shingles
+    # buckets that still hold several components: new centres, then every pair that full sets can link
     for last in (False, True):
         open_ = _open_members(members, comps, sets, p)
         if last:
-            open_ = open_.join(sets.select("doc", "cells"), "doc")
-            x = open_.select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("doc", "n", "comp", "cells")])
-            y = open_.select("bucket", *[F.col(c).alias(f"y_{c}") for c in ("doc", "n", "comp", "cells")])
-            least = F.zip_with("x_cells", "y_cells", lambda a, b: F.least(a, b))
-            common = F.aggregate(least, F.lit(0), lambda a, b: a + b)
-            pairs = x.join(y, "bucket").filter(
-                (F.col("x_doc") < F.col("y_doc"))
-                & (F.col("x_comp") != F.col("y_comp"))
-                & _size_fits("x_n", "y_n", p.percent)
-                & ((100 + p.percent) * common >= p.percent * (F.col("x_n") + F.col("y_n")))
-            )
-            pairs = pairs.select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")).distinct()
+            pairs = prefix_pairs(open_.select("doc", "comp").distinct(), sets, p)
         else:
             pairs = _centres(open_).filter(_size_fits("n", "hub_n", p.percent)).select("a", "b").distinct()
         more = written(confirmed(pairs, sets, p), "neardup-links")
@@ -270,6 +250,38 @@ def find_components(docs: DataFrame, p: NearDupParams = PARAMS) -> tuple[DataFra
     return rows, comps
 
 
+def prefix_pairs(open_: DataFrame, sets: DataFrame, p: NearDupParams = PARAMS) -> DataFrame:
+    """Pairs (a, b) of these documents (doc, comp) that may reach the threshold; exact.
+
+    Each document's shingles are put in one order, those that few of the documents
+    hold first.  Linked sets have at least percent / 100 of either size in
+    common, so each holds one of the common shingles among its first n - that + 1:
+    documents meet at these alone, not in their buckets.  What two documents of
+    different fields in one template share stands late in the order, where nothing
+    meets.  At the first shingle that a linked pair has in common enough must
+    be left on both sides; pairs that meet elsewhere only are no links.
+    """
+    each = sets.select("doc", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), "shingles")
+    held = each.join(open_, "doc").select("doc", "set", "n", "comp", F.explode("shingles").alias("s"))
+    counts = held.groupBy("s").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("doc", "set").orderBy("df", "s")
+    least = F.ceil(F.col("n") * p.percent / 100)
+    placed = held.join(counts, "s").withColumn("at", F.row_number().over(order))
+    first = written(
+        placed.filter((F.col("at") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("s", "doc", "n", "comp", "at"),
+        "neardup-prefixes",
+    )
+    side = lambda x: first.select("s", *[F.col(c).alias(f"{x}_{c}") for c in ("doc", "n", "comp", "at")])
+    left = 1 + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    met = side("x").join(side("y"), "s").filter(
+        (F.col("x_doc") < F.col("y_doc"))
+        & (F.col("x_comp") != F.col("y_comp"))
+        & _size_fits("x_n", "y_n", p.percent)
+        & ((100 + p.percent) * left >= p.percent * (F.col("x_n") + F.col("y_n")))
+    )
+    return met.select(F.col("x_doc").alias("a"), F.col("y_doc").alias("b")).distinct()
+
+
 def _open_members(members: DataFrame, comps: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
     """Members of buckets with several components that may still have a link there (written)."""
     now = (

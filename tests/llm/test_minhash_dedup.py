@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import minhash_dedup as m
 from tests.llm.common import ASCII_LOWER, WORD, documents, messy_rows, sentence
@@ -53,6 +54,45 @@ def test_copies_of_copies_and_hot_group(spark):
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_prefix_pairs_hold_every_link(spark):
+    """Sets of all grades of overlap: every pair at the threshold is among the pairs that meet."""
+    import random
+
+    rng = random.Random(12)
+    sets = []
+    for _ in range(12):
+        base = [rng.randrange(1 << 40) for _ in range(rng.randrange(4, 60))]
+        for _ in range(10):
+            own = set(rng.sample(base, rng.randrange(max(1, len(base) * 7 // 10), len(base) + 1)))
+            own |= {rng.randrange(1 << 40) for _ in range(rng.randrange(0, 5))}
+            sets.append(sorted(own))
+    docs = spark.createDataFrame(list(enumerate(sets)), "doc long, shingles array<long>").repartition(5)
+    open_ = spark.createDataFrame([(i, i) for i in range(len(sets))], "doc long, comp long")
+    for percent in (80, 85, 100):
+        met = {tuple(r) for r in m.prefix_pairs(open_, docs, m.NearDupParams(percent=percent)).collect()}
+        links = {
+            (i, j) for j in range(len(sets)) for i in range(j)
+            if 100 * len({*sets[i]} & {*sets[j]}) >= percent * len({*sets[i]} | {*sets[j]})
+        }
+        assert links <= met and len(met) < len(sets) ** 2 / 8
+
+
+def test_template_with_fields_forms_few_pairs(spark):
+    """20,000 documents of one template, each under the threshold with all others but its twin."""
+    n, shared, own = 20_000, 82, 9
+    template = F.transform(F.sequence(F.lit(1), F.lit(shared)), lambda k: k.cast("long"))
+    # fields are shared by two documents, one more differs: 9 shingles of twins in common
+    fields = F.transform(
+        F.sequence(F.lit(1), F.lit(own)), lambda k: F.abs(F.xxhash64(F.floor(F.col("id") / 2), k)) + 1000
+    )
+    last = F.array(F.abs(F.xxhash64("id", F.lit("last"))) + 1000)
+    sets = spark.range(n).select(F.col("id").alias("doc"), F.concat(template, fields, last).alias("shingles"))
+    open_ = spark.range(n).select(F.col("id").alias("doc"), F.col("id").alias("comp"))
+    met = m.prefix_pairs(open_, sets, m.NearDupParams(percent=90))
+    twins = met.filter("b = a + 1 and a % 2 = 0").count()
+    assert twins == n // 2 and met.count() == twins
+
+
 def test_rows_that_share_an_id(spark):
     rng = __import__("random").Random(9)
     a, b = sentence(rng, 50), sentence(rng, 50)
