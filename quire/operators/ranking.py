@@ -74,21 +74,18 @@ def positions(
     rank_col: str,
     tie_col: str = "book_id",
     out: str = "pos",
-    sub_ranges: int = 1024,
+    range_bits: int = 10,
 ) -> DataFrame:
     """``row_number() over (partition by group order by rank, tie)`` from ranks.
 
-    Ties are numbered in sub-ranges of ``tie_col`` (an integer) with offsets,
-    so a group that is one large tie is spread over many tasks: the position
-    is the rank plus the tied rows in earlier sub-ranges plus those before it
-    in its own.
+    Ties are numbered in sub-ranges of ``tie_col`` (an integer; 2**``range_bits``
+    values each) with offsets, so a group that is one large tie is spread over
+    many tasks: the position is the rank plus the tied rows in earlier
+    sub-ranges plus those before it in its own.
     """
     groups = [group_col] if isinstance(group_col, str) else list(group_col)
     tie = [*groups, rank_col]
-    span = df.agg(F.min(tie_col).alias("_lo"), F.max(tie_col).alias("_hi"))
-    lo, hi = span.select("_lo").scalar(), span.select("_hi").scalar()
-    width = F.ceil((hi - lo + 1) / F.lit(float(sub_ranges)))
-    keyed = df.withColumn("_sub", F.floor((F.col(tie_col) - lo) / width))
+    keyed = df.withColumn("_sub", F.shiftright(F.col(tie_col), range_bits))
     counts = keyed.groupBy(*tie, "_sub").agg(F.count("*").alias("_cnt"))
     before = Window.partitionBy(*tie).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
