@@ -7,18 +7,21 @@ together: the longest common depth x at which the ranges hold ``share`` of all
 vectors (counted over the trees) gives the candidates, which are scored by
 their exact inner product.
 
-Inner products are not angles, so vectors get a further coordinate that brings
-them to one length before they are hashed (queries get 0 there).
+Inner products are not angles, so vectors get a further coordinate before they
+are hashed (queries get 0 there).  It brings them to the greatest length of
+their norm band; bands are a factor of ``band`` wide, so a few long vectors do not
+press all others to one side.
 
 A tree is dealt into blocks by its first bits; an oversized block (many vectors
 of nearly one direction) is split by a hash and its queries go to every part.
 Equal vectors are one entry with their smallest ids, as many as a result can
 show, so a vector that a third of all rows hold is one entry.
 
-``share`` is fitted on at most ``sample`` vectors: the smallest one with which
-the forest over the sample reaches ``aim`` recall against brute force.  Recall
-at the same share rises with the number of vectors, so the sample errs towards
-more candidates.
+``share`` is fitted with ``sample_queries`` queries against all vectors: one pass
+finds their nearest by brute force, how deep these share a prefix with the
+query, and how many vectors do at every depth; the smallest share with which
+the forest has ``aim`` recall is taken.  So it follows the table: with clusters of a
+fixed size it falls as the table grows.
 
 Defined results: vectors that are null, zero, or hold nulls or non-finite
 components take no part, nor do vectors of another length than the commonest
@@ -36,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import written
 
@@ -47,7 +51,9 @@ class ForestParams:
     top: int = 20
     seed: int = 11
     aim: float = 0.95
-    sample: int = 4096
+    #: greatest ratio of two lengths in a norm band
+    band: float = 1.05
+    #: queries that the share is fitted with; each meets every vector
     sample_queries: int = 256
     #: vectors of one block: what a task holds of a tree
     block: int = 16_384
@@ -55,12 +61,13 @@ class ForestParams:
 
 PARAMS = ForestParams()
 #: candidate counts, in vectors of the table, that the fit tries
-_SHARES = tuple(2.0 ** (k / 2) for k in range(-16, 9))
+_SHARES = tuple(2.0 ** (k / 2) for k in range(-40, 9))
 
 
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, v: rows that take part."""
-    v = F.col("embedding").cast("array<float>")
+    double = isinstance(vectors.schema["embedding"].dataType.elementType, T.DoubleType)
+    v = F.col("embedding").cast("array<double>" if double else "array<float>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
@@ -96,7 +103,9 @@ def hash_strings(x: np.ndarray, longest: float, p: ForestParams, query: bool) ->
     planes = _planes(x.shape[1], p)
     signs = x @ planes[:-1]
     if not query:
-        more = np.sqrt(np.maximum(0.0, longest**2 - (x.astype(np.float64) ** 2).sum(axis=1)))
+        norm = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
+        steps = np.floor(np.log(np.maximum(1.0, longest / norm)) / np.log(p.band))
+        more = np.sqrt(np.maximum(0.0, (longest * p.band**-steps) ** 2 - norm**2))
         signs += more[:, None].astype(np.float32) * planes[-1]
     bits = (signs > 0).reshape(len(x), p.trees, p.bits)
     return bits @ (np.int64(1) << np.arange(p.bits - 1, -1, -1, dtype=np.int64))
@@ -110,34 +119,78 @@ def prefix_ranges(sorted_: np.ndarray, strings: np.ndarray, depth: np.ndarray |
     return np.searchsorted(sorted_, lo, "left"), np.searchsorted(sorted_, hi, "right")
 
 
-def fit_share(sample: np.ndarray, p: ForestParams) -> float:
-    """Smallest share of candidates with which a forest over the sample has the aimed recall."""
-    n = len(sample)
+def _meet_all(reps: np.ndarray, asks: np.ndarray, longest: float, p: ForestParams):
+    """A task's vectors against the sampled queries.
+
+    Rows (ask, depth, n, null, null): vectors that share at least ``depth`` bits, over the trees;
+    rows (ask, depth, null, rep, product): the nearest, with the deepest prefix that a tree shares.
+    """
+    strings = hash_strings(asks, longest, p, True)
+    x = asks.astype(np.float64)
+
+    def run(batches):
+        counts = np.zeros((len(asks), p.bits + 1), dtype=np.int64)
+        best = [np.zeros((len(asks), 0)), *(np.zeros((len(asks), 0), dtype=np.int64) for _ in range(2))]
+        for batch in batches:
+            if not len(batch):
+                continue
+            rep, v = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            index = hash_strings(v, longest, p, False)
+            for t in range(p.trees):
+                ordered = np.sort(index[:, t])
+                for d in range(p.bits + 1):
+                    lo, hi = prefix_ranges(ordered, strings[:, t], d, p.bits)
+                    counts[:, d] += hi - lo
+            products = x @ v.astype(np.float64).T
+            products[reps[:, None] == rep[None, :]] = -np.inf
+            some = np.argsort(-products, axis=1, kind="stable")[:, : p.top]
+            common = np.zeros(some.shape, dtype=np.int64)
+            for t in range(p.trees):
+                differ = index[some, t] ^ strings[:, t][:, None]
+                length = p.bits - np.where(differ > 0, np.floor(np.log2(np.maximum(1, differ))) + 1, 0)
+                common = np.maximum(common, length.astype(np.int64))
+            both = [np.concatenate(c, axis=1) for c in zip(best, (np.take_along_axis(products, some, 1), rep[some], common))]
+            order = np.lexsort((both[1], -both[0]), axis=1)[:, : p.top]
+            best = [np.take_along_axis(c, order, axis=1) for c in both]
+        ask, depth = np.nonzero(counts)
+        at, place = np.nonzero(best[0] > -np.inf)
+        m, k = len(ask), len(at)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate((ask, at)).astype(np.int32)),
+                pa.array(np.concatenate((depth, best[2][at, place])).astype(np.int32)),
+                pa.array(np.concatenate((counts[ask, depth], np.zeros(k, np.int64))), mask=np.repeat([False, True], [m, k])),
+                pa.array(np.concatenate((np.zeros(m, np.int64), best[1][at, place])), mask=np.repeat([True, False], [m, k])),
+                pa.array(np.concatenate((np.zeros(m), best[0][at, place])), mask=np.repeat([True, False], [m, k])),
+            ],
+            names=["ask", "depth", "n", "rep", "product"],
+        )
+
+    return run
+
+
+def fit_share(entries: DataFrame, n: int, longest: float, p: ForestParams) -> float:
+    """Smallest share of candidates with which the forest over all entries has the aimed recall."""
     if n <= p.top + 1:
         return float(p.trees)
-    longest = float(np.sqrt((sample.astype(np.float64) ** 2).sum(axis=1)).max())
-    asks = np.arange(0, n, max(1, n // p.sample_queries))
-    index, strings = hash_strings(sample, longest, p, False), hash_strings(sample[asks], longest, p, True)
-    x = sample.astype(np.float64)
-    products = x[asks] @ x.T
-    products[np.arange(len(asks)), asks] = -np.inf
-    best = np.argpartition(-products, p.top, axis=1)[:, : p.top]
-    # depth at which a neighbour joins the candidates: its longest common prefix over the trees
+    rows = entries.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(p.sample_queries).toPandas()
+    asks = np.stack(rows["v"].to_numpy())
+    met = written(
+        entries.select("rep", "v").mapInArrow(
+            _meet_all(rows["rep"].to_numpy(), asks, longest, p), "ask int, depth int, n long, rep long, product double"
+        ),
+        "forest-fit",
+    )
     counts = np.zeros((len(asks), p.bits + 1), dtype=np.int64)
-    for t in range(p.trees):
-        s = np.sort(index[:, t])
-        for d in range(p.bits + 1):
-            lo, hi = prefix_ranges(s, strings[:, t], d, p.bits)
-            counts[:, d] += hi - lo
-    common = np.zeros((len(asks), p.top), dtype=np.int64)
-    for t in range(p.trees):
-        differ = index[best, t] ^ strings[:, t][:, None]
-        length = p.bits - np.where(differ > 0, np.floor(np.log2(np.maximum(1, differ))) + 1, 0)
-        common = np.maximum(common, length.astype(np.int64))
+    for ask, depth, total in met.filter("n is not null").groupBy("ask", "depth").agg(F.sum("n")).collect():
+        counts[ask, depth] = total
+    nearest = W.partitionBy("ask").orderBy(F.desc("product"), "rep")
+    first = met.filter("rep is not null").withColumn("r", F.row_number().over(nearest)).filter(F.col("r") <= p.top)
+    found = np.array(first.select("ask", "depth").collect(), dtype=np.int64).reshape(-1, 2)
     for share in _SHARES:
         enough = counts >= min(share, p.trees) * n
         depth = p.bits - np.argmax(enough[:, ::-1], axis=1)
-        if (common >= depth[:, None]).mean() >= p.aim:
+        if (found[:, 1] >= depth[found[:, 0]]).mean() >= p.aim:
             return min(share, float(p.trees))
     return float(p.trees)
 
@@ -155,8 +208,9 @@ def _hash_batches(longest: float, p: ForestParams, query: bool):
 
 def _strings(vectors: DataFrame, longest: float, p: ForestParams, query: bool) -> DataFrame:
     """rep, v, tree, string."""
+    kind = vectors.schema["v"].dataType.simpleString()
     hashed = vectors.select("rep", "v").mapInArrow(
-        _hash_batches(longest, p, query), "rep long, v array<float>, strings array<long>"
+        _hash_batches(longest, p, query), f"rep long, v {kind}, strings array<long>"
     )
     return hashed.select("rep", "v", F.posexplode("strings").alias("tree", "string"))
 
@@ -231,8 +285,7 @@ def search(vectors: DataFrame, every: int, p: ForestParams = PARAMS) -> DataFram
     n, longest = entries.agg(F.count("*"), F.max(norm)).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = entries.select("v").orderBy(F.xxhash64("rep"), "rep").limit(p.sample).toPandas()["v"]
-    share = fit_share(np.stack(sample.to_numpy()).astype(np.float32), p)
+    share = fit_share(entries, n, longest, p)
     queries = written(
         rows.filter(F.col("vec_id") % every == 0)
         .join(entries.select("rep", "v"), "v")

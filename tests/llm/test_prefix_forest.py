@@ -49,6 +49,53 @@ def test_recall_and_order(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_share_falls_as_clusters_become_more(spark):
+    """Clusters of a fixed size: the share of candidates follows the table, the recall stays."""
+    rng = np.random.default_rng(6)
+    shares = []
+    for clusters in (10, 160):
+        centres = rng.standard_normal((clusters, 32))
+        x = np.repeat(centres, 60, axis=0) + 0.05 * rng.standard_normal((60 * clusters, 32))
+        df = vectors(spark, list(enumerate(x.tolist())))
+        entries = f.distinct_vectors(f.valid_vectors(df), f.PARAMS.top + 1).cache()
+        longest = float(np.linalg.norm(np.float32(x).astype(float), axis=1).max())
+        shares.append(f.fit_share(entries, len(x), longest, f.PARAMS))
+    assert shares[1] < 0.3 * shares[0]
+    got = f.search(df, 400).collect()
+    want = brute(list(enumerate(x.tolist())), 400, 20)
+    hits = sum(len({r.vec_id for r in got if r.query_id == q} & {i for _, i in near}) for q, near in want.items())
+    assert hits / (20 * len(want)) >= 0.9
+
+
+def test_a_few_long_vectors_do_not_spoil_the_others(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((60, 24))
+    x = np.repeat(centres, 40, axis=0) + 0.05 * rng.standard_normal((2400, 24))
+    shares = []
+    for factor in (1.0, 5.0):
+        y = x.copy()
+        y[:2] *= factor
+        df = vectors(spark, list(enumerate(y.tolist())))
+        entries = f.distinct_vectors(f.valid_vectors(df), f.PARAMS.top + 1).cache()
+        longest = float(np.linalg.norm(np.float32(y).astype(float), axis=1).max())
+        shares.append(f.fit_share(entries, len(x), longest, f.PARAMS))
+    assert shares[1] < 2 * shares[0] and shares[0] < 1
+
+
+def test_double_vectors_are_scored_as_they_are(spark):
+    rng = np.random.default_rng(7)
+    x = 1 + 1e-9 * rng.standard_normal((30, 4))
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in f.search(df, 20).collect()}
+    for q in (0, 20):
+        for i in range(30):
+            if i != q and (q, i) in got:
+                assert abs(got[q, i] - float(x[q] @ x[i])) < 1e-14
+        order = sorted((-float(x[q] @ x[i]), i) for i in range(30) if i != q)[:20]
+        assert {i for _, i in order} == {i for k, i in got if k == q}
+
+
 def test_hot_vector_ties_and_bad_rows(spark):
     rng = np.random.default_rng(3)
     hot = rng.standard_normal(8).tolist()
