@@ -14,27 +14,52 @@ from quire.llm.common import read_table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without lines that are above the limit of documents."""
+    """Documents that pass the quality rules, without lines that are above the limit of documents.
+
+    Null and empty texts have no words and are rejected; a null source is a host of its own; rows without an
+    id are documents that are never the first holder of a line; repeated rows count as one document and get
+    one verdict; texts of any length are judged whole; an empty table stays empty; all columns are carried
+    along, whatever their names.
+    """
     return quality_rules.apply_rules(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity of 0.8 or more)."""
+    """One document of each group of near duplicates (five words, similarity of 0.8 or more).
+
+    The row of the smallest id stays; of rows that agree in id and text one; rows without an id all stay, and
+    so do null and wordless texts, which are like nothing.  Texts that share an id are decided each by itself.
+    Texts of any length are compared whole; an empty table stays empty; all columns are carried along.
+    """
     return minhash_dedup.drop_near_duplicates(docs, minhash_dedup.NearDupParams(percent=80, bands=40, rows=5))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document has."""
+    """Documents without the passages that an earlier document has.
+
+    Null texts stay null and empty ones empty; rows with one id never lose bytes to each other, rows without
+    an id to none; of equal passages the one in the smallest id stays; texts of any length are cut whole; an
+    empty table stays empty; all columns are carried along.
+    """
     return suffix_dedup.drop_repeats(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of each document, repeats included."""
+    """The words that the mix takes of each document, repeats included.
+
+    Documents without a taken word go, null and empty ones among them; a null source is a source of its own,
+    last in order; repeated rows and rows without an id are documents each; texts of any length are cut at
+    blocks; an empty table stays empty; all columns are carried along, ``n_chars`` follows the text.
+    """
     return source_mix.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix."""
+    """Token ids of every document of the mix.
+
+    Null and empty texts have no ids; every row is encoded by itself, also where rows repeat or have no id;
+    texts of any length are encoded whole; an empty table gives an empty result; other columns are not kept.
+    """
     return sentence_pieces.encode(docs)
 
 
