@@ -16,7 +16,8 @@ phrases, wherever their words stand consecutively.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z
 lower-cased.  Defined results: null and wordless texts have no words, places or
-labels and score 0; repeated rows are scored alike; only ``doc_id`` and ``text``
+labels and score 0; repeated rows are scored alike; texts of any length are
+scanned whole; an empty table gives an empty result; only ``doc_id`` and ``text``
 are looked at.
 """
 

@@ -8,6 +8,7 @@ a document that loses most of its words is rejected.
 Defined results: null text counts as empty; a null ``source`` is a host of its
 own; a null ``doc_id`` is kept as a document of its own that is never the first
 holder of a line; repeated rows are scored alike and count as one document;
+texts of any length are measured whole; an empty table gives an empty result;
 columns other than ``doc_id``, ``text`` and ``source`` are not looked at.
 """
 

@@ -17,7 +17,11 @@ byte pieces, else the unknown piece.  Decoding gathers piece bytes by id.
 
 Defined results: null and empty texts have no ids and decode to an empty text;
 U+2581 is the model's own space sign and decodes to a space; texts of any
-length are encoded whole.
+length are encoded whole; of pairs with one score the leftmost is merged, as the
+model defines; rows with one doc_id or none, and repeated rows, are encoded each
+by itself; an empty table gives an empty result; only ``doc_id`` and ``text`` are
+looked at, whatever other columns are called.  Units of more than ``_LONG``
+characters are merged with a heap, which gives the same ids.
 """
 
 from __future__ import annotations

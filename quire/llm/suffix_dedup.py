@@ -28,8 +28,11 @@ a shuffle instead of in one task.
 
 Defined results: null texts are empty; matches never cross documents; rows with
 one doc_id never remove each other's bytes; rows with a null doc_id neither
-lose bytes nor make others lose any.  Columns other than ``doc_id`` and ``text``
-are only carried along.
+lose bytes nor make others lose any; texts of any length are treated whole; an
+empty table gives an empty result.  Columns other than ``doc_id`` and ``text``
+are only carried along.  Anchors with up to ``spans_in_task`` spans are resolved
+in one task, others by a shuffle; both give the same result.  Spans are equal
+if their 64-bit hashes are.
 """
 
 from __future__ import annotations

@@ -19,7 +19,10 @@ that they are not in.  doc_id, lang, source and labels are no inputs of a score.
 Defined results: null and wordless texts score as a text without any segment;
 labels of several rows for a document count as toxic if any says so; null
 labels are not used; a null doc_id is not held out and never learned from;
-without both classes in the sample every score is the share of toxic labels.
+without both classes in the sample every score is the share of toxic labels;
+repeated rows are scored alike, and equal texts get equal scores; texts of any
+length are scored whole; an empty table gives an empty result; of the documents
+only ``doc_id`` and ``text`` are looked at, whatever other columns are called.
 """
 
 from __future__ import annotations

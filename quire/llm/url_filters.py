@@ -14,7 +14,8 @@ compared with every capture of it.
 Defined results: a url without a host, or null, has a null host and is kept; a
 null fetch day matches nothing; of entries of one day a removal comes last;
 entries with a null list, domain or day are not used; repeated rows are
-evaluated alike.
+evaluated alike; without captures the result is empty, without entries every
+capture is kept.
 """
 
 from __future__ import annotations

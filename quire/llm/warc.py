@@ -15,7 +15,9 @@ Defined results: a null html is an empty payload; a null url has no target
 header; rows that repeat a page_id and payload give one response (or none) and
 revisits; a null page_id stays null and is the response only if no page with an
 id has the payload; a record that is not whole has null payload columns and
-``whole`` false.  Only ``page_id``, ``url`` and ``html`` are looked at.
+``whole`` false; payloads of any length are cut into segments and come back whole;
+an empty table gives no archive and an empty result.  Only ``page_id``, ``url``
+and ``html`` are looked at, whatever other columns are called.
 """
 
 from __future__ import annotations

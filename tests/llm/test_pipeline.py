@@ -86,3 +86,34 @@ def test_mix_and_tokens(stages):
     texts = {i: t for i, t, _ in rows(after)}
     out = stages[4][2].collect()
     assert len(out) == len(texts) and all(list(r.token_ids) == lib.encode(texts[r.doc_id]) for r in out)
+
+
+def through(spark, docs):
+    for _, stage in c.STAGES:
+        docs = stage(spark, docs, "")
+    return docs
+
+
+def test_empty_table(spark):
+    docs = documents(spark, [], clash=True)
+    for _, stage in c.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and out.collect() == []
+        docs = out
+    assert through(spark, documents(spark, [])).collect() == []
+
+
+def test_very_long_text_goes_through_whole(spark):
+    """Two long texts of distinct words and short ones: every stage keeps all words, the mix takes whole blocks."""
+    long = {i: " ".join(f"{i}x{k}" for k in range(60_000)) for i in (1, 2)}
+    rows_ = [(i, t, "a") for i, t in long.items()] + [(10 + k, " ".join(f"s{k}y{j}" for j in range(40)), "b") for k in range(5)]
+    docs = documents(spark, rows_, clash=True)
+    for stage in (c.quality, c.near_dedup, c.repeated_passages):
+        docs = stage(spark, docs, "")
+        assert {r.doc_id: r.text for r in docs.collect()} == {i: t for i, t, _ in rows_}
+    taken = {r.doc_id: r.taken for r in source_mix.mix(docs).collect()}
+    mixed = {r.doc_id: r.text for r in c.mixed_sources(spark, docs, "").collect()}
+    assert {i: len(WORD.findall(t)) for i, t in mixed.items()} == {i: n for i, n in taken.items() if n}
+    lib = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
+    out = through(spark, documents(spark, rows_)).collect()
+    assert {r.doc_id: list(r.token_ids) for r in out} == {i: lib.encode(t) for i, t in mixed.items()}

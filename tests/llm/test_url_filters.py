@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import types as T
 
 from quire.llm import url_filters as u
@@ -63,3 +66,40 @@ def test_empty_tables(spark):
 def test_no_python_and_no_cross_join(spark):
     plan = u.evaluate(*frames(spark))._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def brute(captures, listed):
+    """Each capture against the state of every list on its day, entry by entry."""
+    out = []
+    for i, host, day in captures:
+        valid = {}
+        if host and day is not None:
+            labels = host.split(".")
+            for k in range(len(labels) - 1):
+                domain = ".".join(labels[k:])
+                for name in {x[0] for x in listed}:
+                    # of one day's entries a removal comes last
+                    past = sorted((d, not added, allows) for n, allows, x, d, added in listed if n == name and x == domain and d <= day)
+                    if past and not past[-1][1]:
+                        allows = max(a for d, _, a in past if d == past[-1][0])
+                        valid[name] = max(valid.get(name, (0, False)), (len(labels) - k, allows))
+        best = max(((n, a, name) for name, (n, a) in valid.items()), default=None)
+        verdict = "keep" if best is None or best[1] else "drop"
+        out.append((i, ",".join(sorted(valid)), len(valid), verdict))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("period", [5, 32])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_histories_equal_brute_force(spark, seed, period):
+    rng = random.Random(seed)
+    domains = ["a.com", "x.a.com", "y.x.a.com", "b.org", "z.b.org"]
+    listed = [
+        (name, allows, rng.choice(domains), rng.randrange(0, 120), rng.random() < 0.6)
+        for name, allows in (("l1", False), ("l2", True), ("l3", False)) for _ in range(40)
+    ]
+    hosts = [rng.choice(["", "w."]) + rng.choice(domains) for _ in range(300)]
+    captures = [(k, h, rng.randrange(0, 150)) for k, h in enumerate(hosts)]
+    rows = [(k, f"http://{h}/{k}", d) for k, h, d in captures]
+    got = u.evaluate(*frames(spark, rows, listed), period).collect()
+    assert sorted((r.id, r.lists, r.n_lists, r.verdict) for r in got) == brute(captures, listed)

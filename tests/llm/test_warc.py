@@ -72,6 +72,16 @@ def test_broken_segments_are_not_whole(spark, tmp_path):
     assert out == {1: (False, None), 2: (True, 400)}
 
 
+def test_long_payloads_come_back_whole(spark):
+    """Payloads of megabytes, equal and distinct, over many segments and chunks."""
+    rows = [(1, "u", "<p>é</p>" * 400_000), (2, "u", "<p>é</p>" * 400_000), (3, "u", "x" * 41_000), (4, "u", "x" * 3_000_000)]
+    p = warc.WarcParams(segment_bytes=64 << 10, chunk_bytes=8 << 10)
+    got = {r.page_id: r for r in warc.archive_round_trip(pages(spark, rows), p).collect()}
+    for i, _, html in rows:
+        assert got[i].whole and got[i].payload_bytes == len(html.encode()) and got[i].payload_digest == digest(html)
+    assert (got[2].record_type, got[2].refers_to) == ("revisit", 1)
+
+
 def test_empty_table(spark):
     assert warc.archive_round_trip(pages(spark, [])).collect() == []
 
