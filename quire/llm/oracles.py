@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 OP2 = r"""
-with s as (
+with recursive s as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
          md5(cast(doc_id as varchar)) as k from documents
 ),
@@ -46,16 +46,30 @@ fin as (
   from each e join moves m on e.idx = m.idx and e.slot >= m.slots
   join moves d on m.extra_at + e.slot - m.slots >= d.short_at and m.extra_at + e.slot - m.slots < d.short_to
 ),
-perm as (
-  select idx, turn, block, row_number() over (partition by idx, turn
-    order by md5(concat('order:7:', idx, ':', turn, ':', block)), block) - 1 as i
-  from (select idx, turn, unnest(range(0, blocks)) as block
-        from (select idx, blocks, unnest(range(0, (slots - 1) // blocks + 1)) as turn from sl where slots > 0))
+side as (
+  select idx, blocks, cast(ceil(sqrt(blocks)) as bigint) as wide, (blocks + wide - 1) // wide as high, unnest([0, 1]) as turn
+  from sl where slots > 0
+),
+keyed as (
+  select *, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 0)), 1, 15) as bigint) % 2147483646 + 1 as a0, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 1)), 1, 15) as bigint) % 2147483647 as b0, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 2)), 1, 15) as bigint) % 2147483646 + 1 as c0, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 3)), 1, 15) as bigint) % 2147483647 as d0,
+    cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 4)), 1, 15) as bigint) % 2147483646 + 1 as a1, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 5)), 1, 15) as bigint) % 2147483647 as b1, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 6)), 1, 15) as bigint) % 2147483646 + 1 as c1, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 7)), 1, 15) as bigint) % 2147483647 as d1,
+    cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 8)), 1, 15) as bigint) % 2147483646 + 1 as a2, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 9)), 1, 15) as bigint) % 2147483647 as b2, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 10)), 1, 15) as bigint) % 2147483646 + 1 as c2, cast('0x' || substr(md5(concat('order:7:', idx, ':', turn, ':', 11)), 1, 15) as bigint) % 2147483647 as d2
+  from side
+),
+walk as (
+  select idx, turn, slot % blocks as i, slot % blocks as x, 0 as step from fin join sl using (idx) join side using (idx, blocks)
+  where turn = slot // blocks
+  union all
+  select idx, turn, i, l3 * high + r3, step + 1 from (
+    select w.*, high, blocks, x // high as l0, x % high as r0,
+      ((r0 * a0 + b0) % 2147483647) as t0, (l0 + t0 * t0 % 2147483647 % wide) % wide as l1, ((l1 * c0 + d0) % 2147483647) as u0, (r0 + u0 * u0 % 2147483647 % high) % high as r1,
+      ((r1 * a1 + b1) % 2147483647) as t1, (l1 + t1 * t1 % 2147483647 % wide) % wide as l2, ((l2 * c1 + d1) % 2147483647) as u1, (r1 + u1 * u1 % 2147483647 % high) % high as r2,
+      ((r2 * a2 + b2) % 2147483647) as t2, (l2 + t2 * t2 % 2147483647 % wide) % wide as l3, ((l3 * c2 + d2) % 2147483647) as u2, (r2 + u2 * u2 % 2147483647 % high) % high as r3
+    from walk w join keyed using (idx, turn) where step = 0 or x >= blocks
+  )
 ),
 blk as (
-  select idx, block, count(*) as times
-  from (select idx, slot // blocks as turn, slot % blocks as i from fin join sl using (idx)) join perm using (idx, turn, i)
-  group by all
+  select idx, x as block, count(*) as times from walk join sl using (idx) where step > 0 and x < blocks group by all
 ),
 pos as (
   select s.doc_id, size, idx, source_size, target,

@@ -9,8 +9,8 @@ shards; a position whose source is drawn more often than it has slots goes to
 a source that was drawn too rarely (the k-th such position to the k-th missing
 slot), so each source fills exactly its number.  The j-th slot of a source is
 mapped through a pseudorandom permutation of the source's block indexes, a new
-one for each pass over the source (the rank of a block's hash among the
-source's), and joined with the block of that index.  A source fills at most two
+one for each pass over the source (a Feistel network keyed by seed, source and
+pass, for any number of blocks), and joined with the block of that index.  A source fills at most two
 passes, so no word is taken more than twice.
 
 ``mixed_blocks`` is the mix in its order: shard, position, source and block.
@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.llm import textkit as tk
-from quire.llm.common import WORD, written
+from quire.llm.common import WORD, partitions_for, written
 
 
 @dataclass(frozen=True)
@@ -129,8 +129,15 @@ def document_offsets(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-#: shards, and blocks, whose numbers are worked out together
-_SHARDS, _BLOCKS = 1024, 1 << 16
+#: shards whose numbers are worked out together
+_SHARDS = 1024
+#: rows that one task lists
+_ROWS = 1 << 19
+#: modulus of the permutation's rounds, a prime below 2**31 (fixed value)
+_PRIME = 2147483647
+#: cycle walking: up to 1,600 blocks fewer than 40 cells are beyond the blocks, so these
+#: steps always suffice; above, a number needs them all with a probability below 40**-40
+_WALK = 40
 
 
 def _hash(*parts) -> Column:
@@ -186,8 +193,11 @@ def slots(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     missing = off.filter("short > 0").select(
         F.col("idx").alias("to"), "had", F.posexplode(F.sequence(F.col("short_at"), F.col("short_at") + F.col("short") - 1)).alias("j", "k")
     )
-    # shards are dealt out before their positions are listed
-    dealt = counts.join(off.select("idx", "slots", "extra_at"), "idx").repartition("shard")
+    # shards are dealt out, over a number that is not coalesced, before their positions are listed
+    total = targets.agg(F.sum("slots")).first()[0] or 0
+    dealt = counts.join(off.select("idx", "slots", "extra_at"), "idx").repartition(
+        partitions_for(targets.sparkSession, total, _ROWS), "shard"
+    )
     each = dealt.select(
         "shard", "idx", "slots", "extra_at", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("slot")
     )
@@ -197,40 +207,56 @@ def slots(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     return own.unionByName(moved)
 
 
-def block_order(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
-    """idx, turn, i, block: for each pass over a source, its blocks in a pseudorandom order.
+def _round_keys(idx: Column, turn: int, p: MixParams) -> list[Column]:
+    """Three pairs of rounds for a source and pass: multipliers and shifts from the seed."""
+    out = []
+    for k in range(3):
+        a1, b1, a2, b2 = (_hash("order", p.seed, idx, turn, 4 * k + j) for j in range(4))
+        odd = [(x % (_PRIME - 1) + 1).alias(n) for x, n in ((a1, "a1"), (a2, "a2"))]
+        out.append(F.struct(*odd, (b1 % _PRIME).alias("b1"), (b2 % _PRIME).alias("b2")))
+    return out
+
+
+def permuted(i: Column, blocks: Column, wide: Column, high: Column, keys: Column) -> Column:
+    """Place ``i`` of 0..blocks-1 under a keyed permutation of these numbers.
 
-    The place of a block is the rank of its hash: blocks with smaller hash
-    prefixes, counted by prefix, and those before it inside its prefix.
+    A Feistel network on wide x high >= blocks cells: a half is shifted by a
+    mixed value of the other, in turn.  A result beyond the blocks goes in again
+    (cycle walking); fewer than sqrt(blocks) cells are beyond, so few do.
     """
-    some = targets.filter("slots > 0")
-    passes = F.floor((F.col("slots") - 1) / F.col("blocks"))
-    parts = F.floor((F.col("blocks") - 1) / _BLOCKS)
-    chunks = some.select("idx", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), passes)).alias("turn")).select(
-        "idx", "blocks", "turn", F.explode(F.sequence(F.lit(0).cast("long"), parts)).alias("part")
-    )
-    last = F.least(F.col("blocks"), (F.col("part") + 1) * _BLOCKS) - 1
-    rows = chunks.repartition("idx", "turn", "part").select(
-        "idx", "turn", F.explode(F.sequence(F.col("part") * _BLOCKS, last)).alias("block")
-    )
-    text = F.concat_ws(":", F.lit("order"), F.lit(p.seed), F.col("idx"), F.col("turn"), F.col("block"))
-    keyed = rows.withColumn("key", F.md5(text.cast("binary"))).withColumn("prefix", F.substring("key", 1, 4))
-    counts = keyed.groupBy("idx", "turn", "prefix").agg(F.count("*").alias("n"))
-    before = W.partitionBy("idx", "turn").orderBy("prefix").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("idx", "turn", "prefix", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = F.row_number().over(W.partitionBy("idx", "turn", "prefix").orderBy("key", "block")) - 1
-    return keyed.withColumn("inside", inside).join(offsets, ["idx", "turn", "prefix"]).select(
-        "idx", "turn", (F.col("before") + F.col("inside")).alias("i"), "block"
+
+    def mixed(v: Column, a: Column, b: Column, m: Column) -> Column:
+        t = (v * a + b) % _PRIME
+        return (t * t) % _PRIME % m
+
+    def once(x: Column) -> Column:
+        def pair(s: Column, k: Column) -> Column:
+            left = (s["l"] + mixed(s["r"], k["a1"], k["b1"], wide)) % wide
+            return F.struct(left.alias("l"), ((s["r"] + mixed(left, k["a2"], k["b2"], high)) % high).alias("r"))
+
+        start = F.struct(F.floor(x / high).alias("l"), (x % high).alias("r"))
+        return F.aggregate(keys, start, pair, lambda s: s["l"] * high + s["r"])
+
+    walk = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_WALK)), once(i), lambda x, _: F.when(x < blocks, x).otherwise(once(x))
     )
+    return walk
 
 
 def slot_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     """shard, idx, slot, block: every position of the mix with the block that fills it."""
-    turn = F.floor(F.col("slot") / F.col("blocks"))
-    numbered = slots(targets, p).join(targets.select("idx", "blocks"), "idx").select(
-        "shard", "idx", "slot", turn.alias("turn"), (F.col("slot") % F.col("blocks")).alias("i")
+    wide = F.ceil(F.sqrt(F.col("blocks"))).cast("bigint")
+    sides = targets.filter("slots > 0").withColumn("wide", wide)
+    high = F.floor((F.col("blocks") + F.col("wide") - 1) / F.col("wide")).cast("bigint")
+    keys = F.array(*[F.array(*_round_keys(F.col("idx"), t, p)) for t in range(p.max_repeats)])
+    sides = sides.select("idx", "blocks", "wide", high.alias("high"), keys.alias("keys"))
+    turn = F.floor(F.col("slot") / F.col("blocks")).cast("int")
+    numbered = slots(targets, p).join(sides, "idx").select(
+        "shard", "idx", "slot", "blocks", "wide", "high", (F.col("slot") % F.col("blocks")).alias("i"),
+        F.get("keys", turn).alias("keys"),
     )
-    return numbered.join(block_order(targets, p), ["idx", "turn", "i"]).select("shard", "idx", "slot", "block")
+    block = permuted(F.col("i"), F.col("blocks"), F.col("wide"), F.col("high"), F.col("keys"))
+    return numbered.select("shard", "idx", "slot", block.alias("block"))
 
 
 def mixed_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
@@ -258,7 +284,7 @@ def _taken(docs: DataFrame, p: MixParams) -> tuple[DataFrame, DataFrame]:
     targets = source_targets(sizes, p)
     offsets = written(document_offsets(sizes, targets), "mix-offsets")
     times = slot_blocks(targets, p).groupBy("idx", "block").agg(F.count("*").alias("times"))
-    return offsets, pieces(offsets, p).join(times, ["idx", "block"])
+    return offsets, pieces(offsets, p).join(times.hint("merge"), ["idx", "block"])
 
 
 def mix(docs: DataFrame, p: MixParams = PARAMS) -> DataFrame:
@@ -267,7 +293,7 @@ def mix(docs: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     # a document of one or more words has its own offset in its source
     taken = got.groupBy("idx", "offset").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     sized = offsets.withColumn("has", F.col("size") > 0)
-    joined = sized.join(taken.withColumn("has", F.lit(True)), ["idx", "offset", "has"], "left")
+    joined = sized.join(taken.withColumn("has", F.lit(True)).hint("merge"), ["idx", "offset", "has"], "left")
     return joined.select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
@@ -306,7 +332,7 @@ def mixed_documents(docs: DataFrame, p: MixParams = PARAMS) -> DataFrame:
     """
     offsets, got = _taken(docs, p)
     parts = got.groupBy("idx", "offset").agg(F.collect_list(F.struct("word", "words", "times")).alias("parts"))
-    plan = offsets.filter("size > 0").join(parts, ["idx", "offset"])
+    plan = offsets.filter("size > 0").join(parts.hint("merge"), ["idx", "offset"])
     # rows that agree in doc_id, source and text are told apart by a number
     same = W.partitionBy("doc_id", "source", "text_key")
     plan = plan.withColumn("copy", F.row_number().over(same.orderBy("offset")))

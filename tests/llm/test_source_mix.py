@@ -76,6 +76,19 @@ def test_slots_blocks_and_shards(spark):
     assert len(steps) > len(order) // 3  # no fixed stride
 
 
+@pytest.mark.parametrize("blocks", [1, 2, 3, 5, 16, 17, 100, 1601, 30_000])
+def test_permutation_of_any_number_of_blocks(spark, blocks):
+    t = spark.createDataFrame([(0, "a", 1, 1.0, blocks, 2 * blocks)], "idx int, source string, source_size long, target double, blocks long, slots long")
+    got = {r.slot: r.block for r in m.slot_blocks(t).collect()}
+    first, second = [got[k] for k in range(blocks)], [got[blocks + k] for k in range(blocks)]
+    assert sorted(first) == sorted(second) == list(range(blocks))
+    if blocks > 1000:
+        assert first != second
+        # neighbours are scattered, and the two passes are unlike each other
+        steps = collections.Counter((y - x) % blocks for x, y in zip(first, first[1:]))
+        assert max(steps.values()) < 20 and sum(x == y for x, y in zip(first, second)) < 20
+
+
 def test_counts_of_shards_are_multinomial_draws(spark):
     """Chi-squared of the shards' counts against the shares is what it is for independent draws."""
     rows = [(k, " ".join(["w"] * 4000), s) for k, s in enumerate("abcaab")]
