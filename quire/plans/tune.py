@@ -236,6 +236,8 @@ def lr_winner(results: DataFrame) -> tuple[float, float]:
 
 
 ALS_CONFIG = ("max_iter", "rank", "reg")
+#: decimals at which metrics count as equal
+WINNER_DIGITS = 9
 
 
 def best_config(
@@ -245,12 +247,14 @@ def best_config(
 
     ``min(struct(metric, *config))`` picks the first configuration in grid
     order among equal metrics, the same as a strict ``<`` / ``>`` scan over an
-    ascending grid (``max_by`` alone is undefined on ties).  A configuration
-    whose metric is null or NaN never wins.
+    ascending grid (``max_by`` alone is undefined on ties).  Metrics are compared
+    at ``WINNER_DIGITS`` decimals: sums of the same terms in another order differ
+    in their last bits.  A configuration whose metric is null or NaN never wins.
     """
     defined = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
-    by_rmse = F.min(F.when(defined("rmse"), F.struct("rmse", *config)))
-    by_map = F.min(F.when(defined("map"), F.struct((-F.col("map")).alias("neg_map"), *config)))
+    at = lambda c: F.round(c, WINNER_DIGITS)
+    by_rmse = F.min(F.when(defined("rmse"), F.struct(at("rmse").alias("rmse"), *config)))
+    by_map = F.min(F.when(defined("map"), F.struct((-at("map")).alias("neg_map"), *config)))
     agg = results.groupBy(*keys).agg(by_rmse.alias("r"), by_map.alias("m"))
     return agg.select(
         *keys,

@@ -333,11 +333,11 @@ _GRID_CTES = {
                group by u.variant, u.k, u.shift""",
     "rmse_best": """select variant, sample, rmse as best_rmse, k as rmse_k, shift as rmse_shift
                     from (select *, row_number() over (partition by variant, sample
-                                                       order by rmse, k, shift) as o
+                                                       order by round(rmse, 9), k, shift) as o
                           from grid) x where o = 1""",
     "map_best": """select variant, sample, map as best_map, k as map_k, shift as map_shift
                    from (select *, row_number() over (partition by variant, sample
-                                                      order by -map, k, shift) as o
+                                                      order by -round(map, 9), k, shift) as o
                          from grid) x where o = 1""",
 }
 
