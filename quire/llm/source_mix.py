@@ -217,13 +217,15 @@ def _round_keys(idx: Column, turn: int, p: MixParams) -> list[Column]:
     return out
 
 
-def permuted(i: Column, blocks: Column, wide: Column, high: Column, keys: Column) -> Column:
-    """Place ``i`` of 0..blocks-1 under a keyed permutation of these numbers.
+def permute(rows: DataFrame) -> DataFrame:
+    """Rows with ``block``: place i of 0..blocks-1 under a keyed permutation of these numbers.
 
-    A Feistel network on wide x high >= blocks cells: a half is shifted by a
-    mixed value of the other, in turn.  A result beyond the blocks goes in again
-    (cycle walking); fewer than sqrt(blocks) cells are beyond, so few do.
+    ``rows`` have i, blocks, wide, high and keys.  A Feistel network on
+    wide x high >= blocks cells: a half is shifted by a mixed value of the other,
+    in turn.  A result beyond the blocks goes in again (cycle walking); fewer
+    than sqrt(blocks) cells are beyond, so few do.
     """
+    blocks, wide, high = F.col("blocks"), F.col("wide"), F.col("high")
 
     def mixed(v: Column, a: Column, b: Column, m: Column) -> Column:
         t = (v * a + b) % _PRIME
@@ -235,12 +237,13 @@ def permuted(i: Column, blocks: Column, wide: Column, high: Column, keys: Column
             return F.struct(left.alias("l"), ((s["r"] + mixed(left, k["a2"], k["b2"], high)) % high).alias("r"))
 
         start = F.struct(F.floor(x / high).alias("l"), (x % high).alias("r"))
-        return F.aggregate(keys, start, pair, lambda s: s["l"] * high + s["r"])
+        return F.aggregate("keys", start, pair, lambda s: s["l"] * high + s["r"])
 
-    walk = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_WALK)), once(i), lambda x, _: F.when(x < blocks, x).otherwise(once(x))
+    first = rows.withColumn("first", once(F.col("i")))
+    again = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_WALK)), F.col("first"), lambda x, _: F.when(x < blocks, x).otherwise(once(x))
     )
-    return walk
+    return first.withColumn("block", F.when(F.col("first") < blocks, F.col("first")).otherwise(again))
 
 
 def slot_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
@@ -255,8 +258,7 @@ def slot_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
         "shard", "idx", "slot", "blocks", "wide", "high", (F.col("slot") % F.col("blocks")).alias("i"),
         F.get("keys", turn).alias("keys"),
     )
-    block = permuted(F.col("i"), F.col("blocks"), F.col("wide"), F.col("high"), F.col("keys"))
-    return numbered.select("shard", "idx", "slot", block.alias("block"))
+    return permute(numbered).select("shard", "idx", "slot", "block")
 
 
 def mixed_blocks(targets: DataFrame, p: MixParams = PARAMS) -> DataFrame:
