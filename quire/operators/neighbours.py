@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.factors import dot
-from quire.session import scratch_path
+from quire.session import written
 
 
 @dataclass(frozen=True)
@@ -46,12 +46,6 @@ class LshParams:
     seed: int = 11
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def unit_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, unit) of the vectors that have a direction."""
     v = F.col(vector_col)
@@ -144,7 +138,7 @@ FOUND = "id long, other long, cosine double, tab int, work long"
 
 def table_pairs(points: DataFrame, p: LshParams, first: int, last: int, mean: np.ndarray, n: int) -> DataFrame:
     """What the tables first..last - 1 find: (id, other, cosine, tab), and (id, null, tab, work) rows."""
-    codes = _written(points.select("rep", "unit").mapInArrow(
+    codes = written(points.select("rep", "unit").mapInArrow(
         _codes(p, first, last, mean), "rep long, tab int, code long"), "lsh-codes")
     leaves = _leaves(codes, p, n)
     prefix = F.expr(f"shiftright(code, {p.bits} - level)").alias("prefix")
@@ -226,17 +220,17 @@ class Search:
 
 def search(vectors: DataFrame, id_col: str, vector_col: str, p: LshParams = LshParams()) -> Search:
     """Tables until the sample's recall is reached; larger leaves where the tables do not suffice."""
-    points = _written(entries(unit_vectors(vectors, id_col, vector_col), p.k), "lsh-points")
+    points = written(entries(unit_vectors(vectors, id_col, vector_col), p.k), "lsh-points")
     n = points.count()
     if n == 0:
         none = points.sparkSession.createDataFrame([], FOUND)
         return Search(points, none, none.select("id", "other", "cosine"), p, 0, 0)
     mean = _mean(points)
-    exact = _written(exact_neighbours(points, _sample(points, p, n), p.k), "lsh-exact")
+    exact = written(exact_neighbours(points, _sample(points, p, n), p.k), "lsh-exact")
     while True:
         found, done, last = None, 0, min(p.tables, p.max_tables)
         while True:
-            more = _written(table_pairs(points, p, done, last, mean, n), "lsh-found")
+            more = written(table_pairs(points, p, done, last, mean, n), "lsh-found")
             found = more if found is None else found.unionByName(more)
             row = recall_curve(found, exact, [last], n).first()
             if row is None or row.recall >= p.recall:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.factors import dot
-from quire.session import scratch_path
+from quire.session import written
 
 
 @dataclass(frozen=True)
@@ -44,12 +44,6 @@ DEFAULT = RecommendParams()
 STATE = "block int, next int, users binary, factors binary, items binary, scores binary, compared long"
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 # -- packing -----------------------------------------------------------------------
 
 
@@ -74,7 +68,7 @@ def ordered_items(items: DataFrame, item_col: str) -> DataFrame:
                 [*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), idx], names=[*b.schema.names, "part", "idx"]
             )
 
-    numbered = _written(
+    numbered = written(
         placed.mapInArrow(number, "item long, factors array<float>, norm double, part int, idx long"), "items-by-norm"
     )
     sizes = sorted(numbered.groupBy("part").count().collect())
@@ -253,17 +247,17 @@ def search(
     """
     spark = users.sparkSession
     placed = ordered_items(items, item_col).withColumn("wave", (F.col("pos") / p.wave_items).cast("int"))
-    waves = _written(
+    waves = written(
         placed.groupBy("wave").applyInArrow(_pack_wave, "wave int, ids binary, matrix binary, norms binary"), "item-waves"
     )
     largest = dict(placed.groupBy("wave").agg(F.max("norm")).collect())
     asked = user_blocks(users, user_col, p)
-    state = _written(asked.groupBy("block").applyInArrow(_pack_users, STATE), "user-blocks")
+    state = written(asked.groupBy("block").applyInArrow(_pack_users, STATE), "user-blocks")
     pairs = None
     if seen is not None:
         known = seen.select(F.col(user_col).cast("long").alias("user"), F.col(item_col).cast("long").alias("item")).distinct()
         place = F.pmod("pos", F.lit(p.wave_items)).cast("int").alias("place")
-        pairs = _written(
+        pairs = written(
             known.join(asked.select("user", "block"), "user").join(placed.select("item", "pos", "wave"), "item")
             .groupBy("block", "wave").agg(F.collect_list(F.struct("user", place)).alias("pairs")),
             "seen-pairs",
@@ -279,7 +273,7 @@ def search(
             with_seen = waiting.join(own, "block", "left")
         # one row of bounded size for every block that still waits
         met = with_seen.join(F.broadcast(wave), F.col("next") == F.col("wave"))
-        state = _written(met.mapInArrow(_step(k, w, largest.get(w + 1), p), STATE), f"user-blocks-{w}")
+        state = written(met.mapInArrow(_step(k, w, largest.get(w + 1), p), STATE), f"user-blocks-{w}")
         finished = state.where(F.col("next") < 0)
         done = finished if done is None else done.unionByName(finished)
         if state.where(F.col("next") >= 0).isEmpty():

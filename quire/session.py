@@ -82,6 +82,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: cuts the lineage, read by many."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: partitions to spread a scan over that feeds per-row work; unset: the scan's own splits
 SCAN_PARTITIONS = "spark.quire.scan.partitions"
 
