@@ -89,21 +89,45 @@ def _codes(p: LshParams, first: int, last: int, mean: np.ndarray):
     return run
 
 
+#: levels that all strings are counted at; dense regions go on below
+NEAR_LEVELS = 8
+
+
 def _leaves(codes: DataFrame, p: LshParams, n: int) -> DataFrame:
-    """(tab, code, level, parts): the prefix length of each string's leaf."""
+    """(tab, code, level, parts): the prefix length of each string's leaf.
+
+    Strings are counted at ``NEAR_LEVELS`` levels, and those without a leaf there at
+    all the others.  They have a row per level, which estimates of a plan's size do
+    not see, so the joins are told not to broadcast.
+    """
     start = max(0, int(np.log2(max(1, n / p.leaf))) - 3)
-    levels = F.sequence(F.lit(start), F.lit(p.bits))
+    end = min(start + NEAR_LEVELS - 1, p.bits)
     counts = codes.groupBy("tab", "code").agg(F.count("*").alias("c"))
+    leaves = _leaves_between(counts, p, start, end)
+    if end < p.bits:
+        rest = counts.hint("merge").join(leaves, ["tab", "code"], "left_anti")
+        leaves = leaves.unionByName(_leaves_between(rest, p, end + 1, p.bits))
+    return leaves
+
+
+def _leaves_between(counts: DataFrame, p: LshParams, first: int, last: int) -> DataFrame:
+    """The leaves at the levels first..last of strings (tab, code, c) that are in no leaf above.
+
+    Strings of one prefix are all among ``counts`` or none of them is.
+    """
+    levels = F.sequence(F.lit(first), F.lit(last))
     each = counts.select("tab", "code", "c", F.explode(levels).alias("level"))
     prefix = F.expr(f"shiftright(code, {p.bits} - level)")
     sums = each.groupBy("tab", "level", prefix.alias("prefix")).agg(F.sum("c").alias("members"))
     fits = (F.col("members") <= p.leaf) | (F.col("level") == p.bits)
-    found = each.select("tab", "code", "level", prefix.alias("prefix")).join(
+    found = each.select("tab", "code", "level", prefix.alias("prefix")).hint("merge").join(
         sums.where(fits), ["tab", "level", "prefix"]
     )
-    best = found.groupBy("tab", "code").agg(F.min(F.struct("level", "members")).alias("b"))
+    # the shortest, with its members in the low bits: one long is aggregated by hash
+    best = found.groupBy("tab", "code").agg(F.min(F.shiftleft(F.col("level").cast("long"), 48) + F.col("members")).alias("b"))
+    members = F.col("b").bitwiseAND(F.lit((1 << 48) - 1))
     return best.select(
-        "tab", "code", F.col("b.level").alias("level"), F.ceil(F.col("b.members") / p.leaf).cast("int").alias("parts")
+        "tab", "code", F.shiftright("b", 48).cast("int").alias("level"), F.ceil(members / p.leaf).cast("int").alias("parts")
     )
 
 
@@ -143,8 +167,8 @@ def table_pairs(points: DataFrame, p: LshParams, first: int, last: int, mean: np
     leaves = _leaves(codes, p, n)
     prefix = F.expr(f"shiftright(code, {p.bits} - level)").alias("prefix")
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")
-    placed = codes.join(leaves, ["tab", "code"]).select("rep", "tab", "level", prefix, part)
-    members = placed.join(points.select("rep", "unit"), "rep")
+    placed = codes.hint("merge").join(leaves, ["tab", "code"]).select("rep", "tab", "level", prefix, part)
+    members = placed.hint("merge").join(points.select("rep", "unit"), "rep")
     return members.groupBy("tab", "level", "prefix", "part").applyInArrow(_compare(p.k), FOUND)
 
 

@@ -98,3 +98,32 @@ def test_fewer_than_k(spark, n):
     df = frame(spark, x)
     got = lists(N.neighbours(df, N.search(df, "book_id", "factors"), "book_id", "factors"), 10)
     assert all(len(v) == n - 1 for v in got.values()) and len(got) == n
+
+
+def test_leaves_are_not_broadcast(spark):
+    """A row per level and string: the estimate of a small file says nothing about it."""
+    rows = [(i, i % 4, i * 7919) for i in range(400)]
+    from quire.session import written
+
+    codes = written(spark.createDataFrame(rows, "rep long, tab int, code long"), "test-codes")
+    leaves = N._leaves(codes, N.LshParams(leaf=16), 100)
+    plan = leaves._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert leaves.count() == 400
+
+
+def test_leaves_of_dense_regions_are_found_below_the_near_levels(spark):
+    """Against a count of every prefix: spread strings, a region that differs in its last bits only, equal strings."""
+    p = N.LshParams(leaf=4, bits=20)
+    codes = [(i * 104729) % (1 << 20) for i in range(200)] + [(1 << 19) + i for i in range(40)] + [77] * 9
+    df = spark.createDataFrame([(i, 0, c) for i, c in enumerate(codes)], "rep long, tab int, code long")
+    got = {r.code: (r.level, r.parts) for r in N._leaves(df, p, len(codes)).collect()}
+    start = max(0, int(np.log2(len(codes) / p.leaf)) - 3)
+    want = {}
+    for c in set(codes):
+        for level in range(start, p.bits + 1):
+            m = sum(x >> (p.bits - level) == c >> (p.bits - level) for x in codes)
+            if m <= p.leaf or level == p.bits:
+                want[c] = (level, -(-m // p.leaf))
+                break
+    assert got == want and max(v[0] for v in want.values()) > start + N.NEAR_LEVELS
