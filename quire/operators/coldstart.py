@@ -87,7 +87,8 @@ def normal_equations(rows: DataFrame, x_col: str = "x", y_col: str = "factors")
 
 def fit_map(factors: DataFrame, features: DataFrame, ridge: float = 1.0, id_col: str = "book_id") -> FactorMap:
     """Ridge regression of every factor dimension on the features of the items that have factors."""
-    rows = features.join(factors, id_col)
+    # an array is estimated as one value: the features would be broadcast whole
+    rows = features.hint("merge").join(factors, id_col)
     xx, xy = normal_equations(rows)
     n = int(round(xx[0, 0]))  # the intercept's square is 1 in every row
     penalty = ridge * np.eye(len(xx))
@@ -136,7 +137,7 @@ def cold_start_scores(
     mapped = map_factors(features.where(cold), fitted)
     mean = F.lit(mean_factors(known))
     pairs = cold_pairs(train, heldout, cold).select("user_id", "book_id", "rating")
-    scored = score_factors(pairs, users, mapped, out="mapped")
+    scored = score_factors(pairs, users, mapped.hint("merge"), out="mapped")
     scored = score_factors(scored, user_factors(full), item_factors(full), out="full")
     u = users.select("user_id", F.col("factors").alias("_u"))
     return scored.join(u, "user_id").withColumn("mean", dot(F.col("_u"), mean)).drop("_u")

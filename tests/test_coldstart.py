@@ -104,3 +104,22 @@ def test_report_equals_brute_force(spark, structured):
         assert r.rmse == pytest.approx(np.sqrt(np.mean(square[m])), abs=1e-4)
     # features carry the signal: nearly as good as having seen the item, far better than the mean
     assert rows["mapped"].rmse < 0.5 * rows["mean"].rmse and rows["mapped"].rmse < 3 * rows["full"].rmse
+
+
+def test_features_are_not_broadcast(spark, monkeypatch):
+    """Arrays count as one value in a plan's estimate; the design matrix is joined by shuffles."""
+    from quire.session import written
+
+    ids = spark.range(80).select(F.col("id").cast("int").alias("book_id"))
+    x = F.array(F.lit(1.0), F.col("book_id").cast("double"), (F.col("book_id") % 7).cast("double"))
+    features = written(ids.select("book_id", x.alias("x")), "test-features")
+    factors = written(ids.select("book_id", F.array(F.col("book_id") * 0.5, F.lit(2.0)).alias("factors")), "test-factors")
+    plans, real = [], C.normal_equations
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return real(rows)
+
+    monkeypatch.setattr(C, "normal_equations", seen)
+    assert C.fit_map(factors, features).n_items == 80
+    assert "Broadcast" not in plans[0] and "SortMergeJoin" in plans[0]
