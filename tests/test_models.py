@@ -134,3 +134,19 @@ def test_blocks_follow_the_ratings_and_stay_with_the_model(spark, parts):
     assert kept == params
     a, b = MD.score(model, val, "a"), MD.score(loaded, val, "b")
     assert a.join(b, ["user_id", "book_id"]).where("abs(a - b) > 1e-6").count() == 0
+
+
+def test_regression_passes_run_over_merged_partitions(spark, monkeypatch):
+    """Each task of a pass sends a whole gradient: many small partitions are merged."""
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.sparse(30, [i % 30], [1.0]), float(i % 5)) for i in range(600)]
+    data = spark.createDataFrame(rows, ["idf_features", "rating"]).repartition(64)
+    seen, real = [], MD.LinearRegression.fit
+    monkeypatch.setattr(MD.LinearRegression, "fit", lambda self, d: seen.append(d.rdd.getNumPartitions()) or real(self, d))
+    few = MD.fit_lr(data, 0.1, 0.01)
+    assert few.summary.numInstances == 600
+    assert seen == [spark.sparkContext.defaultParallelism]
+    monkeypatch.setattr(MD, "LR_ROWS", 30)
+    MD.fit_lr(data, 0.1, 0.01)
+    assert seen[1] == 20
