@@ -122,3 +122,14 @@ def test_full_grids_have_their_points():
     regs, nets = tuning.FULL_LR_GRID
     assert (len(tuning.FULL_GRID), len(tuning.FULL_REVIEW_GRID), len(regs) * len(nets)) == (63, 10, 35)
     assert all(isinstance(p, MD.ALSParams) for p in tuning.FULL_GRID)
+
+
+def test_a_winner_is_not_fitted_again(spark, monkeypatch):
+    """Validation and test share the models: two points and one unread model are three fits."""
+    real, fits = MD.fit_als, []
+    monkeypatch.setattr(MD, "fit_als", lambda train, p=MD.ALSParams(), **c: fits.append(p) or real(train, p, **c))
+    assert tuning.final_eval_read(spark, SF_SMALL).count() == 1
+    assert len(fits) == 3
+    fits.clear()
+    assert tuning.final_eval(spark, SF_SMALL).count() == 1
+    assert len(fits) == 2
