@@ -96,3 +96,40 @@ def test_empty_sides(spark):
     users, items = frames(spark, u, v)
     assert R.top_items(users.limit(0), items, 3).collect() == []
     assert R.top_items(users, items.limit(0), 3).collect() == []
+
+
+def test_heaps_are_written_once(spark, monkeypatch):
+    """However many waves the items make: no heap goes to the shared folder before it is finished."""
+    u, v = data(n_items=400)
+    users, items = frames(spark, u, v)
+    names = []
+
+    def noted(df, name):
+        names.append(name)
+        return written(df, name)
+
+    written = R.written
+    monkeypatch.setattr(R, "written", noted)
+    for wave in (40, 400):  # ten waves, one wave
+        names.clear()
+        p = R.RecommendParams(block_users=7, wave_items=wave, tile_items=8, rows=3)
+        assert all(len(x) == 10 for x in got(R.top_items(users, items, 10, p=p)).values())
+        assert len(names) <= 4 and len(set(names)) == len(names)
+
+
+def test_lanes_hold_a_bounded_number_of_users():
+    assert R.lanes_for(1, 8) == 1 and R.lanes_for(10_000, 8) == 8 and R.lanes_for(10**6, 12) % 12 == 0
+    assert all(n / R.lanes_for(n, 12) <= R.DEFAULT.lane_users for n in (10**5, 10**6, 10**8))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-30, 1e20])
+def test_scores_closer_than_single_precision_are_told_apart(spark, scale):
+    """Items that differ in their last bits: the list is that of the exact products."""
+    rng = np.random.default_rng(5)
+    u = {i: (np.abs(rng.normal(size=6)) + 0.1) * scale for i in range(5)}
+    near = np.float32(1) + np.float32(2**-23) * rng.integers(0, 9, size=(300, 6)).astype(np.float32)
+    v = {i: x * np.float32(scale) if scale > 1e-10 else x for i, x in enumerate(near)}
+    users, items = frames(spark, u, v)
+    a, b = got(R.top_items(users, items, 20, p=SMALL)), brute(u, v, 20, set())
+    for i in u:
+        assert [s for _, s in a[i]] == pytest.approx([s for _, s in b[i]], rel=1e-14)
