@@ -15,8 +15,12 @@ from quire.sources import io, schemas
 
 
 def map_ids(raw_reviews, user_map, book_map):
-    """Replace opaque string ids with numeric ones via two dimension joins."""
-    joined = raw_reviews.join(user_map, "user_id").join(book_map, "book_id")
+    """Replace opaque string ids with numeric ones via two dimension joins.
+
+    The maps meet the pairs of ids; the texts travel once, to their pair, and are not sorted.
+    """
+    ids = raw_reviews.select("user_id", "book_id").distinct().join(user_map, "user_id").join(book_map, "book_id")
+    joined = raw_reviews.join(ids.hint("shuffle_hash"), ["user_id", "book_id"])
     return joined.select(
         F.col("user_id_csv").alias("user_id"),
         F.col("book_id_csv").alias("book_id"),
