@@ -69,9 +69,10 @@ def als_side(val):
 
 
 def review_side(spark, sf_dir, val):
-    rev = FX.reviews(spark, sf_dir)
+    # scored where the texts are: the join moves scores alone
+    rev = FX.reviews(spark, sf_dir).withColumn("prediction", review_score()).drop("review_text")
     joined = typed_interactions(val).join(rev, ["user_id", "book_id", "rating"])
-    return B.clamp_predictions(joined.withColumn("prediction", review_score()))
+    return B.clamp_predictions(joined)
 
 
 def unread_side(val):
