@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.columns import hash_bucket
 from quire.operators.ranking import row_number_by_hash
+from quire.session import written
 
 SAMPLE_BUCKETS = 10_000
 
@@ -136,9 +137,10 @@ def split_table(df: DataFrame, spec: SplitSpec = DEFAULT_SPLIT) -> DataFrame:
 
     Two branches over the input: rows that go to train (train users and every
     observed half) and held-out rows of users with history, labelled by part.
+    Users and rows are hashed once: the branches read what was written.
     """
     cols = df.columns
-    rows = with_split_columns(df, spec)
+    rows = written(with_split_columns(df, spec), "split-rows")
     to_train = (F.col("part") == "train") | (F.col("half") == 0)
     train = rows.where(to_train).select(*cols, F.lit("train").alias("part"))
     observed = rows.where((F.col("part") != "train") & (F.col("half") == 0))

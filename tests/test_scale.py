@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from quire.operators import split as S
 from quire.registry import extensions, joins, scalar
 from quire.registry.common import parts
 from quire.session import shuffles_for
@@ -72,3 +73,13 @@ def test_scores_of_reviews_are_joined_without_texts(spark):
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     below = [line for line in lines[join + 1 :] if "Project" in line and "prediction" in line]
     assert below and "length(review_text" in below[0]
+
+
+def test_rows_are_hashed_once_for_the_split_table(spark):
+    rows = [(u, b, 1, 3.0, 0) for u in [*range(40), None] for b in [*range(6), None]]
+    df = spark.createDataFrame(rows, "user_id int, book_id int, is_read int, rating double, is_reviewed int")
+    table = S.split_table(df)
+    assert "md5" not in plan(table)  # three branches read the hashes
+    got = sorted(map(str, table.collect()))
+    parts_ = [p.withColumn("part", F.lit(n)) for n, p in zip(("train", "val", "test"), S.split_recipe(df))]
+    assert got == sorted(str(r) for p in parts_ for r in p.collect())
