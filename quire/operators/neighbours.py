@@ -5,7 +5,8 @@ distance, and centred, so that hyperplanes through the origin halve them.  A
 table gives each vector a string of bits, the sides of random hyperplanes.  Its
 leaves are the shortest prefixes that at most ``leaf`` vectors share: dense
 regions get long prefixes, sparse ones short.  Vectors of one leaf are compared
-with each other by one matrix product.
+with each other by one matrix product.  Vectors travel once per table, to the cell
+of a short prefix, which finds its leaves itself; cells of too many are cut by counts.
 
 Tables are added, twice as many each time, until a sample of queries, compared
 with all vectors exactly, has the wanted recall; after ``max_tables`` leaves
@@ -71,8 +72,8 @@ def _mean(points: DataFrame) -> np.ndarray:
     return np.array(points.agg(*[F.avg(F.col("unit")[i]) for i in range(size)]).first(), dtype=float)
 
 
-def _codes(p: LshParams, first: int, last: int, mean: np.ndarray):
-    """Bit strings of the tables first..last - 1, one row per vector and table."""
+def _codes(p: LshParams, first: int, last: int, mean: np.ndarray, more: int = 0):
+    """Bit strings of the tables first..last - 1, one row per vector and table, with the ``more`` first columns after rep."""
     planes = np.random.default_rng(p.seed).normal(size=(p.max_tables, p.bits, len(mean)))[first:last]
     weight = 1 << np.arange(p.bits, dtype=np.int64)[::-1]
 
@@ -84,13 +85,22 @@ def _codes(p: LshParams, first: int, last: int, mean: np.ndarray):
             for t in range(len(planes)):
                 code = (x @ planes[t].T > 0) @ weight
                 table = pa.array(np.full(b.num_rows, first + t, dtype=np.int32))
-                yield pa.record_batch([b.column(0), table, pa.array(code)], names=["rep", "tab", "code"])
+                yield pa.record_batch(
+                    [b.column(0), table, pa.array(code), *b.columns[1 : 1 + more]], names=["rep", "tab", "code", *b.schema.names[1 : 1 + more]]
+                )
 
     return run
 
 
 #: levels that all strings are counted at; dense regions go on below
 NEAR_LEVELS = 8
+#: vectors that a cell, a task's group, has at most, in leaves
+CELL_LEAVES = 64
+
+
+def _first_level(p: LshParams, n: int) -> int:
+    """The shortest prefix that may be a leaf."""
+    return max(0, int(np.log2(max(1, n / p.leaf))) - 3)
 
 
 def _leaves(codes: DataFrame, p: LshParams, n: int) -> DataFrame:
@@ -100,7 +110,7 @@ def _leaves(codes: DataFrame, p: LshParams, n: int) -> DataFrame:
     all the others.  They have a row per level, which estimates of a plan's size do
     not see, so the joins are told not to broadcast.
     """
-    start = max(0, int(np.log2(max(1, n / p.leaf))) - 3)
+    start = _first_level(p, n)
     end = min(start + NEAR_LEVELS - 1, p.bits)
     counts = codes.groupBy("tab", "code").agg(F.count("*").alias("c"))
     leaves = _leaves_between(counts, p, start, end)
@@ -131,39 +141,98 @@ def _leaves_between(counts: DataFrame, p: LshParams, first: int, last: int) -> D
     )
 
 
+def _best(ids: np.ndarray, x: np.ndarray, k: int, tab: int) -> pa.Table:
+    """The k best of each vector of a leaf, and a row with the comparisons it took."""
+    order = np.argsort(ids)
+    ids, x = ids[order], x[order]
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    m = len(ids)
+    n = min(k, m - 1)
+    # ids ascend: a stable order breaks ties to the smaller id
+    best = np.argsort(-score, axis=1, kind="stable")[:, :n]
+    return pa.table({
+        "id": np.concatenate((np.repeat(ids, n), ids)),
+        "other": pa.array(np.concatenate((ids[best].ravel(), ids)), mask=np.repeat([False, True], [m * n, m])),
+        "cosine": np.concatenate((np.take_along_axis(score, best, axis=1).ravel(), np.zeros(m))),
+        "tab": np.full(m * (n + 1), tab, dtype=np.int32),
+        "work": np.repeat([0, m - 1], [m * n, m]),
+    })
+
+
+def _columns(group: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
+    ids = group["rep"].to_numpy()
+    return ids, group["unit"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1), group["tab"][0].as_py()
+
+
 def _compare(k: int):
-    """The k best of each vector in a leaf, and a row with the comparisons it took."""
+    """A group that is a leaf."""
 
     def leaf(group: pa.Table) -> pa.Table:
-        ids = group["rep"].to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        x = group["unit"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[order]
-        score = x @ x.T
-        np.fill_diagonal(score, -np.inf)
-        n = min(k, len(ids) - 1)
-        # ids ascend: a stable order breaks ties to the smaller id
-        best = np.argsort(-score, axis=1, kind="stable")[:, :n]
-        tab = group["tab"][0].as_py()
-        m = len(ids)
-        return pa.table({
-            "id": np.concatenate((np.repeat(ids, n), ids)),
-            "other": pa.array(np.concatenate((ids[best].ravel(), ids)), mask=np.repeat([False, True], [m * n, m])),
-            "cosine": np.concatenate((np.take_along_axis(score, best, axis=1).ravel(), np.zeros(m))),
-            "tab": np.full(m * (n + 1), tab, dtype=np.int32),
-            "work": np.repeat([0, m - 1], [m * n, m]),
-        })
+        ids, x, tab = _columns(group)
+        return _best(ids, x, k, tab)
 
     return leaf
 
 
+def leaf_runs(code: np.ndarray, start: int, p: LshParams) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a cell's strings, and where its leaves begin in it; see ``_leaves``."""
+    order = np.argsort(code, kind="stable")
+    c = code[order]
+    ends, waiting = [], [(0, len(c), start)]
+    while waiting:
+        lo, hi, level = waiting.pop()
+        if hi - lo <= p.leaf or level == p.bits:
+            ends.append(lo)
+            continue
+        # a run is halved at the next bit; one half may be empty
+        bit = p.bits - level - 1
+        middle = lo + int(np.searchsorted((c[lo:hi] >> bit) & 1, 1))
+        waiting += [(a, b, level + 1) for a, b in ((lo, middle), (middle, hi)) if b > a]
+    return order, np.sort(np.array(ends, dtype=np.int64))
+
+
+def _compare_cell(p: LshParams, start: int):
+    """A group that has all vectors of one prefix: its leaves, one after the other."""
+
+    def cell(group: pa.Table) -> pa.Table:
+        ids, x, tab = _columns(group)
+        hashes = group["hash"].to_numpy()
+        order, begins = leaf_runs(group["code"].to_numpy(), start, p)
+        out = []
+        for run in np.split(order, begins[1:]):
+            parts = -(-len(run) // p.leaf)
+            part = hashes[run] % parts
+            out += [_best(ids[at], x[at], p.k, tab) for j in range(parts) if len(at := run[part == j])]
+        return pa.concat_tables(out)
+
+    return cell
+
+
 FOUND = "id long, other long, cosine double, tab int, work long"
 
 
 def table_pairs(points: DataFrame, p: LshParams, first: int, last: int, mean: np.ndarray, n: int) -> DataFrame:
     """What the tables first..last - 1 find: (id, other, cosine, tab), and (id, null, tab, work) rows."""
-    codes = written(points.select("rep", "unit").mapInArrow(
-        _codes(p, first, last, mean), "rep long, tab int, code long"), "lsh-codes")
+    start = _first_level(p, n)
+    cell = F.expr(f"shiftright(code, {p.bits - start})").alias("cell")
+    strings = lambda: points.select("rep", "unit").mapInArrow(_codes(p, first, last, mean), "rep long, tab int, code long")
+    sizes = strings().groupBy("tab", cell).agg(F.count("*").alias("c"))
+    crowded = written(sizes.where(F.col("c") > CELL_LEAVES * p.leaf).select("tab", "cell"), "lsh-crowded")
+    hashed = points.select("rep", "unit", F.xxhash64("rep").alias("hash"))
+    placed = hashed.mapInArrow(_codes(p, first, last, mean, 2), "rep long, tab int, code long, unit array<double>, hash long")
+    placed = placed.select("*", cell)
+    if crowded.isEmpty():
+        return placed.groupBy("tab", "cell").applyInArrow(_compare_cell(p, start), FOUND)
+    # a crowded cell has thousands of vectors: they are few, whatever the table's size
+    few = placed.join(F.broadcast(crowded), ["tab", "cell"], "left_anti")
+    near = few.groupBy("tab", "cell").applyInArrow(_compare_cell(p, start), FOUND)
+    many = strings().select("*", cell).join(F.broadcast(crowded), ["tab", "cell"], "left_semi").drop("cell")
+    return near.unionByName(_crowded_pairs(points, written(many, "lsh-codes"), p, n))
+
+
+def _crowded_pairs(points: DataFrame, codes: DataFrame, p: LshParams, n: int) -> DataFrame:
+    """As ``table_pairs``, of strings whose prefixes may have any number of members."""
     leaves = _leaves(codes, p, n)
     prefix = F.expr(f"shiftright(code, {p.bits} - level)").alias("prefix")
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")
@@ -216,12 +285,17 @@ def recall_curve(found: DataFrame, exact: DataFrame, tables: list[int], n: int)
     the best of all, so the first table that finds it tells the curve.
     """
     steps = F.array(*[F.lit(t) for t in tables])
-    first = found.where(F.col("other").isNotNull()).groupBy("id", "other").agg(F.min("tab").alias("first"))
+    # the sample's pairs are few: the others are not shuffled
+    asked = F.broadcast(exact.select("id", "other"))
+    first = found.where(F.col("other").isNotNull()).join(asked, ["id", "other"]).groupBy("id", "other").agg(
+        F.min("tab").alias("first")
+    )
     hits = exact.join(first, ["id", "other"], "left").select(F.explode(steps).alias("tables"), "first")
     recall = hits.groupBy("tables").agg(F.avg((F.coalesce(F.col("first") < F.col("tables"), F.lit(False))).cast("double")).alias("recall"))
-    work = found.where(F.col("other").isNull()).select("id", "tab", "work", F.explode(steps).alias("tables"))
-    share = work.where(F.col("tab") < F.col("tables")).groupBy("tables").agg(
-        (F.sum("work") / F.countDistinct("id") / F.lit(float(max(1, n - 1)))).alias("examined")
+    # a vector has one row of work in each table
+    work = found.where(F.col("other").isNull()).groupBy("tab").agg(F.sum("work").alias("work"), F.count("*").alias("ids"))
+    share = work.select("*", F.explode(steps).alias("tables")).where(F.col("tab") < F.col("tables")).groupBy("tables").agg(
+        (F.sum("work") / F.max("ids") / F.lit(float(max(1, n - 1)))).alias("examined")
     )
     return recall.join(share, "tables")
 
@@ -270,7 +344,10 @@ def search(vectors: DataFrame, id_col: str, vector_col: str, p: LshParams = LshP
 def neighbours(vectors: DataFrame, s: Search, id_col: str, vector_col: str) -> DataFrame:
     """(id, rank, neighbour, cosine, examined): the k nearest found of every vector, ties to the smaller id."""
     k, kind = s.params.k, vectors.schema[id_col].dataType
-    pairs = s.found.where(F.col("other").isNotNull()).groupBy("id", "other").agg(F.max("cosine").alias("cosine"))
+    # one exchange, by id, serves the deduplication and the ranks
+    pairs = s.found.where(F.col("other").isNotNull()).select("id", "other", "cosine").repartition("id").groupBy("id", "other").agg(
+        F.max("cosine").alias("cosine")
+    )
     best = _top(pairs, k).drop("rank")
     own = s.points.select(F.col("rep").alias("id"), F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
     firsts = s.points.select(F.col("rep").alias("other"), "firsts")

@@ -127,3 +127,35 @@ def test_leaves_of_dense_regions_are_found_below_the_near_levels(spark):
                 want[c] = (level, -(-m // p.leaf))
                 break
     assert got == want and max(v[0] for v in want.values()) > start + N.NEAR_LEVELS
+
+
+def test_vectors_travel_once_per_table(spark):
+    """Cells find their leaves themselves: no strings are counted at every level and joined with vectors."""
+    rng = np.random.default_rng(7)
+    df = frame(spark, rng.normal(size=(3000, 5)))
+    p = N.LshParams(k=4, leaf=32, bits=20, tables=2)
+    points = N.written(N.entries(N.unit_vectors(df, "book_id", "factors"), p.k), "test-points")
+    found = N.table_pairs(points, p, 0, 2, N._mean(points), 3000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    s = N.Search(points, N.written(found, "test-found"), None, p, 2, 3000)
+    curve = N.recall_curve(s.found, N.exact_neighbours(points, points.where("rep < 40"), 4), [1, 2], 3000)
+    lines = curve._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in lines
+    near = N.neighbours(df, s, "book_id", "factors")
+    assert sorted({r.book_id for r in near.collect()}) == list(range(3000))
+
+
+@pytest.mark.parametrize("leaves", [1, 64])
+def test_cells_and_counts_give_the_same_pairs(spark, monkeypatch, leaves):
+    """Crowded cells (here: all of them) are cut by counts; spread vectors, a dense region, vectors no bit splits."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate((rng.normal(size=(900, 4)), np.ones((300, 4)) + 1e-7 * rng.normal(size=(300, 4))))
+    df = frame(spark, x)
+    p = N.LshParams(k=4, leaf=16, bits=12)
+    points = N.written(N.entries(N.unit_vectors(df, "book_id", "factors"), p.k), "test-points")
+    n, mean = points.count(), N._mean(points)
+    codes = N.written(points.select("rep", "unit").mapInArrow(N._codes(p, 0, 2, mean), "rep long, tab int, code long"), "test-codes")
+    rows = lambda f: sorted((r.id, r.tab, r.other or -1, r.work) for r in f.collect())
+    monkeypatch.setattr(N, "CELL_LEAVES", leaves)
+    assert rows(N.table_pairs(points, p, 0, 2, mean, n)) == rows(N._crowded_pairs(points, codes, p, n))
