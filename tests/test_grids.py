@@ -133,3 +133,18 @@ def test_a_winner_is_not_fitted_again(spark, monkeypatch):
     fits.clear()
     assert tuning.final_eval(spark, SF_SMALL).count() == 1
     assert len(fits) == 2
+
+
+@pytest.mark.parametrize("name", ["grid_als", "grid_als_read"])
+def test_a_grid_keeps_no_copy_of_its_tables(spark, monkeypatch, name):
+    """ALS keeps its own blocks of the staged rows; the grid does not hold the rows beside them."""
+    real, held = MD.fit_als, []
+
+    def noted(train, p=MD.ALSParams(), **c):
+        held.append((train.storageLevel.useMemory, spark.sparkContext._jsc.getPersistentRDDs().size()))
+        return real(train, p, **c)
+
+    monkeypatch.setattr(MD, "fit_als", noted)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert tuning.QUERIES[name](spark, SF_SMALL, TU.als_grid([1], [2], [0.1])).count() == 1
+    assert held[0] == (False, before)
