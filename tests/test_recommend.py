@@ -133,3 +133,33 @@ def test_scores_closer_than_single_precision_are_told_apart(spark, scale):
     a, b = got(R.top_items(users, items, 20, p=SMALL)), brute(u, v, 20, set())
     for i in u:
         assert [s for _, s in a[i]] == pytest.approx([s for _, s in b[i]], rel=1e-14)
+
+
+def test_lanes_hold_few_rows_of_what_passes_by(spark, monkeypatch):
+    """A lane takes some waves at a time, a heap is a row by itself, and the session's setting comes back."""
+    u, v = data(n_items=400)
+    users, items = frames(spark, u, v)
+    before, seen, written, lane = spark.conf.get(R.ARROW_ROWS), {}, R.written, R._lane
+
+    def noted(df, name):
+        seen[name] = spark.conf.get(R.ARROW_ROWS)
+        return written(df, name)
+
+    def watched(k, p):
+        run = lane(k, p)
+
+        def some(batches):
+            def few():
+                for b in batches:
+                    assert b.num_rows <= 8, b.num_rows
+                    yield b
+
+            yield from run(few())
+
+        return some
+
+    monkeypatch.setattr(R, "written", noted)
+    monkeypatch.setattr(R, "_lane", watched)
+    rows = R.search(users, items, 5, p=R.RecommendParams(block_users=7, wave_items=10, tile_items=8, rows=3)).collect()
+    assert seen["user-heaps"] == str(R.FEED_ROWS) and spark.conf.get(R.ARROW_ROWS) == before
+    assert len(rows) == len(u) and {len(r.users) for r in rows} == {8} and {len(r["items"]) for r in rows} == {5 * 8}
